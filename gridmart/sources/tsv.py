@@ -48,15 +48,14 @@ def read_positional(spark: SparkSession, paths: str | Sequence[str],
                       F.col("_metadata.file_path").alias("file_path"))
 
 
-def scan_tsv(spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str],
-             header_first: str = DATETIME_HEADER, check_headers: bool = True,
-             max_fields: int = MAX_FIELDS) -> DataFrame:
-    """Rows of all files as text columns named by their (trimmed) header.
+def map_by_header(rows: DataFrame, wanted: Sequence[str],
+                  header_first: str = DATETIME_HEADER, check_headers: bool = True) -> DataFrame:
+    """Positional rows (``cells``, ``file_path``) -> text columns by header name.
 
-    Missing columns and short rows give ''; extra fields are ignored; every
-    value is stripped.  Adds ``file_path``.
+    Each file's header row is found by its first cell; every wanted column
+    is taken from the position its name has in that file's header.  Also
+    used on streaming micro-batches (a file is always whole in one batch).
     """
-    rows = read_positional(spark, paths, max_fields)
     first = strip_text(F.col("cells")[0])
     is_header = first == F.lit(header_first)
     headers = (rows.where(is_header)
@@ -73,33 +72,41 @@ def scan_tsv(spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[s
                                      ", ".join(r[0] for r in bad))
     joined = data.join(broadcast_if_small(headers, MAX_FILES_BROADCAST), "file_path")
     # element_at(…, 0) is an error under ANSI; guard positions of absent names.
-    guarded = []
+    cols = []
     for name in wanted:
         pos = F.array_position("header", F.lit(name))
-        guarded.append(F.when(pos > 0, text_or_empty(F.element_at("cells", pos.cast("int"))))
-                       .otherwise(F.lit("")).alias(name))
-    return joined.select(*guarded, "file_path")
+        cols.append(F.when(pos > 0, text_or_empty(F.element_at("cells", pos.cast("int"))))
+                    .otherwise(F.lit("")).alias(name))
+    return joined.select(*cols, "file_path")
 
 
-def scan_instrument(spark: SparkSession, paths: str | Sequence[str],
-                    instrument: str | Instrument, on_error: str = "fail") -> DataFrame:
-    """One instrument's files as its raw table schema.
+def scan_tsv(spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str],
+             header_first: str = DATETIME_HEADER, check_headers: bool = True,
+             max_fields: int = MAX_FIELDS) -> DataFrame:
+    """Rows of all files as text columns named by their (trimmed) header.
 
-    ``datetime`` is required, ``update_time`` optional (blank -> NULL); both
-    strictly UTC.  With ``on_error="fail"`` a bad instant aborts the job; with
-    ``"keep"`` the text columns ``datetime_text``/``update_time_text`` are
-    kept for :func:`gridmart.operators.quality.split_rejects`.
+    Missing columns and short rows give ''; extra fields are ignored; every
+    value is stripped.  Adds ``file_path``.
     """
+    rows = read_positional(spark, paths, max_fields)
+    return map_by_header(rows, wanted, header_first, check_headers)
+
+
+def instrument_headers(instrument: str | Instrument) -> dict:
+    """Header name -> raw column name of one instrument (plus update time)."""
     inst = INSTRUMENTS[instrument] if isinstance(instrument, str) else instrument
     mapping = dict(COMMON_HEADERS)
     mapping.update(inst.headers)
-    names = list(mapping) + [UPDATE_TIME_HEADER]
-    text = scan_tsv(spark, paths, names)
-    cols = []
-    for header, target in mapping.items():
-        if target == "datetime":
-            continue
-        cols.append(F.col(f"`{header}`").alias(target))
+    mapping[UPDATE_TIME_HEADER] = "update_time"
+    return mapping
+
+
+def type_instrument(text: DataFrame, instrument: str | Instrument,
+                    on_error: str = "fail") -> DataFrame:
+    """Header-named text -> raw instrument schema with strict UTC instants."""
+    mapping = instrument_headers(instrument)
+    cols = [F.col(f"`{h}`").alias(t) for h, t in mapping.items()
+            if t not in ("datetime", "update_time")]
     if on_error == "keep":
         return text.select(F.col(f"`{DATETIME_HEADER}`").alias("datetime"), *cols,
                            F.col(f"`{UPDATE_TIME_HEADER}`").alias("update_time"),
@@ -110,6 +117,18 @@ def scan_instrument(spark: SparkSession, paths: str | Sequence[str],
     return text.select(dt.alias("datetime"), *cols, ut.alias("update_time"), "file_path")
 
 
+def scan_instrument(spark: SparkSession, paths: str | Sequence[str],
+                    instrument: str | Instrument, on_error: str = "fail") -> DataFrame:
+    """One instrument's files as its raw table schema.
+
+    ``datetime`` is required, ``update_time`` optional (blank -> NULL); both
+    strictly UTC.  With ``on_error="fail"`` a bad instant aborts the job; with
+    ``"keep"`` both stay text for :func:`gridmart.operators.quality.split_rejects`.
+    """
+    text = scan_tsv(spark, paths, list(instrument_headers(instrument)))
+    return type_instrument(text, instrument, on_error)
+
+
 def scan_energy_prices(spark, paths, **kw):
     return scan_instrument(spark, paths, "energy_prices", **kw)
 

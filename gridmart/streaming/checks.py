@@ -1,4 +1,80 @@
-"""Streaming queries registered for the driver (filled in below)."""
+"""Streaming paths run on data Spark derives from the driver's tables.
 
-QUERIES: dict = {}
-SQL: dict = {}
+``stream_ingest``: the raw-price rows are landed by Spark as tab-separated
+files with the source's headers, then ingested by the Z1 file stream;
+the raw table read back must equal the landed rows.
+``stream_upsert_latest``: the raw rows are landed as Parquet files and fed
+through Z2 in several micro-batches; the table must equal the batch
+latest-wins staging relation.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.numeric import try_double
+from ..plans import oracle, testbed
+from ..plans.staging import STG_COLUMNS
+from ..schemas import INSTRUMENTS
+from ..session import scratch_path
+from ..sources.tsv import instrument_headers
+from .ingest import stream_ingest_files
+from .upsert_stream import stream_upsert_latest
+
+
+def land_prices_tsv(raw: DataFrame, landing: str, files: int = 6) -> None:
+    """Write raw-price rows as header-named tab-separated files."""
+    names = {t: h for h, t in instrument_headers("energy_prices").items()}
+    cols = []
+    for c in ["datetime", "resolution_code", "area_code", "area_name", "area_type_code",
+              "area_map_code", "contract_type", "price", "currency", "update_time"]:
+        if c == "datetime":
+            v = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif c == "update_time":
+            v = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        else:
+            v = F.col(c)
+        cols.append(v.alias(names[c]))
+    (raw.select(*cols).repartition(files, F.col("`DateTime(UTC)`"))
+     .write.mode("overwrite").option("sep", "\t").option("header", True)
+     .option("quote", '"').option("escape", '"').csv(landing))
+
+
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = testbed.raw_prices(spark, sf_dir)
+    landing = scratch_path(spark, "landing-tsv")
+    land_prices_tsv(raw, landing)
+    raw_path = scratch_path(spark, "raw-energy-prices")
+    stream_ingest_files(spark, landing, raw_path, scratch_path(spark, "ckpt-ingest"),
+                        "energy_prices", max_files_per_trigger=2)
+    return testbed.ntz(spark.read.parquet(raw_path).drop("load_id"))
+
+
+def q_stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = testbed.raw_prices(spark, sf_dir)
+    landing = scratch_path(spark, "landing-parquet")
+    raw.repartition(4, "datetime").write.mode("overwrite").parquet(landing)
+    source = (spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 2)
+              .parquet(landing))
+    target = scratch_path(spark, "stg-energy-prices")
+    stream_upsert_latest(spark, source, target, scratch_path(spark, "ckpt-upsert"),
+                         INSTRUMENTS["energy_prices"].grain, "datetime",
+                         tiebreak=("update_time",))
+    table = spark.read.parquet(target)
+    return table.select(*[try_double(c).alias(c) if c == "price" else F.col(c)
+                          for c in STG_COLUMNS["energy_prices"]])
+
+
+QUERIES = {
+    "stream_ingest": q_stream_ingest,
+    "stream_upsert_latest": q_stream_upsert_latest,
+}
+
+SQL = {
+    "stream_ingest": "WITH " + oracle.RAW_PRICES + """
+SELECT datetime, resolution_code, area_code, area_name, area_type_code, area_map_code,
+       contract_type, trim(price) AS price, currency, update_time
+FROM raw_prices""",
+    "stream_upsert_latest": "WITH " + oracle.STG_PRICES + "\nSELECT * FROM stg_prices",
+}
