@@ -142,9 +142,9 @@ def merged_headers(spark: SparkSession, paths, header_first: str = DATETIME_HEAD
     One row per file reaches the driver (its header), never data rows.
     """
     rows = read_positional(spark, paths)
-    first = strip_text(F.col("cells")[0])
-    heads = (rows.where(first == header_first)
-             .select("file_path", F.transform("cells", lambda c: strip_text(c)).alias("h"))
+    stripped = F.transform("cells", lambda c: strip_text(c))
+    heads = (rows.where(F.array_contains(stripped, F.lit(header_first)))
+             .select("file_path", stripped.alias("h"))
              .dropDuplicates(["file_path"]).orderBy("file_path").collect())
     names: list[str] = []
     for r in heads:

@@ -52,18 +52,17 @@ def map_by_header(rows: DataFrame, wanted: Sequence[str],
                   header_first: str = DATETIME_HEADER, check_headers: bool = True) -> DataFrame:
     """Positional rows (``cells``, ``file_path``) -> text columns by header name.
 
-    Each file's header row is found by its first cell; every wanted column
+    Each file's header row is the row naming ``header_first`` in any position
+    (so files with reordered columns are found too); every wanted column
     is taken from the position its name has in that file's header.  Also
     used on streaming micro-batches (a file is always whole in one batch).
     """
-    first = strip_text(F.col("cells")[0])
-    is_header = first == F.lit(header_first)
+    stripped = F.transform("cells", lambda c: F.coalesce(strip_text(c), F.lit("")))
+    is_header = F.array_contains(stripped, F.lit(header_first))
     headers = (rows.where(is_header)
-               .select("file_path",
-                       F.transform("cells", lambda c: F.coalesce(strip_text(c), F.lit("")))
-                       .alias("header"))
+               .select("file_path", stripped.alias("header"))
                .dropDuplicates(["file_path"]))
-    data = rows.where(~is_header | first.isNull())
+    data = rows.where(~is_header)
     if check_headers:
         no_header = data.select("file_path").distinct().join(headers, "file_path", "left_anti")
         bad = no_header.limit(5).collect()
