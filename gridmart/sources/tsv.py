@@ -63,13 +63,12 @@ def map_by_header(rows: DataFrame, wanted: Sequence[str],
                .select("file_path", stripped.alias("header"))
                .dropDuplicates(["file_path"]))
     data = rows.where(~is_header)
+    joined = data.join(_bounded_broadcast(rows, headers), "file_path", "left")
     if check_headers:
-        no_header = data.select("file_path").distinct().join(headers, "file_path", "left_anti")
-        bad = no_header.limit(5).collect()
-        if bad:
-            raise MissingHeaderError("file without header line: " +
-                                     ", ".join(r[0] for r in bad))
-    joined = data.join(broadcast_if_small(headers, MAX_FILES_BROADCAST), "file_path")
+        # A file without a header line fails the same job (no extra pass).
+        missing = F.concat(F.lit("file without header line: "), F.col("file_path"))
+        joined = joined.where(F.when(F.col("header").isNull(), F.raise_error(missing))
+                              .isNull())
     # element_at(…, 0) is an error under ANSI; guard positions of absent names.
     cols = []
     for name in wanted:
@@ -79,6 +78,20 @@ def map_by_header(rows: DataFrame, wanted: Sequence[str],
     return joined.select(*cols, "file_path")
 
 
+def _bounded_broadcast(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    """Broadcast the per-file header table when its size is proven small.
+
+    It holds at most one row per input file, and the file count is known
+    from the driver's file listing (no Spark job).  Streaming micro-batches
+    have no listing; there the rows are counted (bounded by ``limit``).
+    """
+    try:
+        n_files = len(rows.inputFiles())
+    except Exception:  # noqa: BLE001 - e.g. a micro-batch DataFrame
+        return broadcast_if_small(headers, MAX_FILES_BROADCAST)
+    return F.broadcast(headers) if n_files <= MAX_FILES_BROADCAST else headers
+
+
 def scan_tsv(spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str],
              header_first: str = DATETIME_HEADER, check_headers: bool = True,
              max_fields: int = MAX_FIELDS) -> DataFrame:

@@ -47,7 +47,7 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_prices_tsv(raw, landing)
     raw_path = scratch_path(spark, "raw-energy-prices")
     stream_ingest_files(spark, landing, raw_path, scratch_path(spark, "ckpt-ingest"),
-                        "energy_prices", max_files_per_trigger=2)
+                        "energy_prices", max_files_per_trigger=3)
     return testbed.ntz(spark.read.parquet(raw_path).drop("load_id"))
 
 
