@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode-aware strip: Spark's trim() removes only the ASCII space, while the
-# source strips tabs, newlines and no-break spaces as well.
-_STRIP = r"(?U)^\s+|\s+$"
+# The source strips with Python's str.strip(): every character for which
+# str.isspace() is true (tabs, newlines, no-break and other Unicode spaces).
+# Spark's trim() with a character set does the same without a regex; the set
+# is built from that rule (all such characters lie below U+3001).
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def _col(c) -> Column:
@@ -15,7 +17,7 @@ def _col(c) -> Column:
 
 
 def strip_text(c) -> Column:
-    return F.regexp_replace(_col(c), _STRIP, "")
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def text_or_empty(c) -> Column:

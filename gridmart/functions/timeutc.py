@@ -35,11 +35,18 @@ def _col(c) -> Column:
 
 
 def _naive_instant(text: Column) -> Column:
-    """The wall-clock part read as a UTC instant (NULL if not a real time)."""
-    body = F.regexp_replace(text, _OFFSET_SUFFIX, "")
-    body = F.regexp_replace(body, "T", " ")
-    body = F.regexp_replace(body, r"^(\S+ \d{2}:\d{2})$", "$1:00")
-    return F.concat(body, F.lit("+00:00")).try_cast("timestamp")
+    """The instant of a shape-checked text (NULL if not a real calendar time).
+
+    Spark's cast reads the 'T' separator, fractions (cut to microseconds) and
+    zero offsets itself; text without seconds gets ':00' inserted after the
+    16-character 'YYYY-MM-DD HH:MM' head.  Non-zero offsets are rejected
+    before this value is used, so the session zone (UTC) is the only one
+    that applies.
+    """
+    head, rest = text.substr(1, 16), text.substr(17, 64)
+    no_seconds = rest.substr(1, 1) != ":"
+    full = F.when(no_seconds, F.concat(head, F.lit(":00"), rest)).otherwise(text)
+    return full.try_cast("timestamp")
 
 
 def utc_reject_reason(c, required: bool = True) -> Column:
@@ -100,3 +107,48 @@ def to_date_strict(c) -> Column:
     return (F.when(c.isNull(), F.lit(None).cast("date"))
             .when(ok, text.cast("date"))
             .otherwise(F.raise_error(message)))
+
+
+def utc_parts(c, required: bool = True) -> Column:
+    """struct<reason string, value timestamp> of a text instant, in one pass.
+
+    Spark SQL has no LET; a one-element ``transform`` binds the stripped text
+    (and then its shape, offset and instant) to a lambda variable, so each
+    step is evaluated once per row even where Catalyst inlines the whole
+    expression (e.g. into a pushed-down filter on the reason).
+    """
+    def facts(t):
+        return F.struct(t.alias("t"), t.rlike(UTC_TEXT_SHAPE).alias("ok"),
+                        F.regexp_extract(t, _OFFSET_SUFFIX, 1).alias("off"),
+                        _naive_instant(t).alias("naive"))
+
+    def judge(p):
+        blank = p["t"].isNull() | (p["t"] == "")
+        reason = (F.when(blank, F.lit(MISSING) if required else F.lit(None).cast("string"))
+                  .when(~p["ok"], F.lit(MALFORMED))
+                  .when(p["naive"].isNull(), F.lit(MALFORMED))
+                  .when(~p["off"].isin(_ZERO_OFFSETS), F.lit(NON_UTC)))
+        return F.struct(reason.alias("reason"), p["naive"].alias("naive"))
+
+    return F.transform(F.transform(F.array(strip_text(_col(c))), facts), judge)[0]
+
+
+def with_utc(df, col: str, required: bool = True, on_error: str = "fail",
+             field: str | None = None, source: str = "gridmart",
+             reason_col: str | None = None):
+    """Parse one text column of a DataFrame in place (see :func:`utc_parts`).
+
+    ``on_error``: "fail" aborts the job on a rejected value, "null" leaves
+    NULL.  ``reason_col`` also keeps the reject reason.
+    """
+    p = f"__{col}_utc"
+    out = df.withColumn(p, utc_parts(col, required))
+    why, naive = F.col(p)["reason"], F.col(p)["naive"]
+    value = F.when(why.isNull(), naive)
+    if on_error == "fail":
+        message = F.concat(F.lit(f"{source}: invalid UTC timestamp in {field or col}: "),
+                           F.coalesce(F.col(col), F.lit("NULL")), F.lit(" ("), why, F.lit(")"))
+        value = F.when(why.isNotNull(), F.raise_error(message)).otherwise(naive)
+    if reason_col:
+        out = out.withColumn(reason_col, why)
+    return out.withColumn(col, value).drop(p)

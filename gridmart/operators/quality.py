@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeutc import utc_reject_reason, utc_value
+from ..functions.timeutc import with_utc
 
 
 class DataCheckError(RuntimeError):
@@ -54,16 +54,19 @@ def split_rejects(df: DataFrame, ts_cols: dict, source: str = "gridmart"):
     parsed DataFrame.  Rejects carry (source, field, value, reason) plus the
     original row as JSON.
     """
-    reasons = [F.when(utc_reject_reason(c, req).isNotNull(),
-                      F.struct(F.lit(c).alias("field"), F.col(c).alias("value"),
-                               utc_reject_reason(c, req).alias("reason")))
-               for c, req in ts_cols.items()]
-    parsed = df.withColumn("__rej", F.coalesce(*reasons) if reasons else F.lit(None))
-    good = parsed.where(F.col("__rej").isNull()).drop("__rej")
-    for c in ts_cols:
-        good = good.withColumn(c, utc_value(c))
+    parsed = df
+    for c, req in ts_cols.items():
+        parsed = parsed.withColumn(f"__raw_{c}", F.col(c))
+        parsed = with_utc(parsed, c, required=req, on_error="null", reason_col=f"__why_{c}")
+    first = [F.when(F.col(f"__why_{c}").isNotNull(),
+                    F.struct(F.lit(c).alias("field"), F.col(f"__raw_{c}").alias("value"),
+                             F.col(f"__why_{c}").alias("reason")))
+             for c in ts_cols]
+    parsed = parsed.withColumn("__rej", F.coalesce(*first) if first else F.lit(None))
+    helpers = [f"__raw_{c}" for c in ts_cols] + [f"__why_{c}" for c in ts_cols]
+    good = parsed.where(F.col("__rej").isNull()).drop("__rej", *helpers)
+    original = [F.col(f"__raw_{c}").alias(c) if c in ts_cols else F.col(c) for c in df.columns]
     rejects = (parsed.where(F.col("__rej").isNotNull())
                .select(F.lit(source).alias("source"), "__rej.field", "__rej.value",
-                       "__rej.reason",
-                       F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("row")))
+                       "__rej.reason", F.to_json(F.struct(*original)).alias("row")))
     return good, rejects

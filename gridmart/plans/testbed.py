@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import try_double
 from ..functions.text import text_or_empty
-from ..functions.timeutc import format_utc, parse_utc, utc_reject_reason, utc_value
+from ..functions.timeutc import format_utc, with_utc
 from ..operators import audit, incremental, manifest, profile, quality
 from ..operators.joins import MAX_BROADCAST_ROWS, join_dim
 from ..operators.metrics import metric_query
@@ -480,9 +480,9 @@ def q_parse_utc_rejects(spark, sf_dir):
 
 
 def q_parse_utc_optional(spark, sf_dir):
-    df = _utc_texts(spark, sf_dir)
-    return ntz(df.select("event_id", utc_value("ts_text").alias("ts_utc"),
-                         utc_reject_reason("ts_text", required=False).alias("reason")))
+    df = with_utc(_utc_texts(spark, sf_dir), "ts_text", required=False, on_error="null",
+                  reason_col="reason")
+    return ntz(df.select("event_id", F.col("ts_text").alias("ts_utc"), "reason"))
 
 
 def q_format_utc(spark, sf_dir):

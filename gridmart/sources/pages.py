@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timeutc import parse_utc, to_date_strict
+from ..functions.timeutc import to_date_strict, with_utc
 from ..schemas import ENTITIES, Entity, entity_row_schema, page_schema
 
 
@@ -33,8 +33,8 @@ def normalize_entity(rows: DataFrame, entity: str | Entity, on_error: str = "fai
     ent = ENTITIES[entity] if isinstance(entity, str) else entity
     out = rows
     for c in ent.timestamp_columns:
-        out = out.withColumn(c, parse_utc(c, c, f"pse/{ent.endpoint}", required=True,
-                                          on_error="null" if on_error == "null" else "fail"))
+        out = with_utc(out, c, required=True, on_error="null" if on_error == "null" else "fail",
+                       source=f"pse/{ent.endpoint}")
     return out
 
 

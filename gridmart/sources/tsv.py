@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip_text, text_or_empty
-from ..functions.timeutc import parse_utc
+from ..functions.timeutc import with_utc
 from ..operators.joins import broadcast_if_small
 from ..schemas import (COMMON_HEADERS, DATETIME_HEADER, INSTRUMENTS, UPDATE_TIME_HEADER,
                        Instrument)
@@ -36,13 +36,18 @@ def _wide_schema(n: int) -> T.StructType:
 
 
 def read_positional(spark: SparkSession, paths: str | Sequence[str],
-                    max_fields: int = MAX_FIELDS) -> DataFrame:
-    """All rows (header rows included) as an array of text plus the file path."""
+                    max_fields: int = MAX_FIELDS, multi_line: bool = True) -> DataFrame:
+    """All rows (header rows included) as an array of text plus the file path.
+
+    ``multi_line`` honours quoted newlines but makes each file one task; for
+    large files known to have none, ``False`` lets Spark split them (header
+    matching still works: it joins on the file path, not on the split).
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.schema(_wide_schema(max_fields))
            .option("sep", "\t").option("header", False)
            .option("quote", '"').option("escape", '"')
-           .option("multiLine", True).option("mode", "PERMISSIVE")
+           .option("multiLine", multi_line).option("mode", "PERMISSIVE")
            .csv(paths))
     return raw.select(F.array(*[F.col(f"_c{i}") for i in range(max_fields)]).alias("cells"),
                       F.col("_metadata.file_path").alias("file_path"))
@@ -94,13 +99,13 @@ def _bounded_broadcast(rows: DataFrame, headers: DataFrame) -> DataFrame:
 
 def scan_tsv(spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str],
              header_first: str = DATETIME_HEADER, check_headers: bool = True,
-             max_fields: int = MAX_FIELDS) -> DataFrame:
+             max_fields: int = MAX_FIELDS, multi_line: bool = True) -> DataFrame:
     """Rows of all files as text columns named by their (trimmed) header.
 
     Missing columns and short rows give ''; extra fields are ignored; every
     value is stripped.  Adds ``file_path``.
     """
-    rows = read_positional(spark, paths, max_fields)
+    rows = read_positional(spark, paths, max_fields, multi_line)
     return map_by_header(rows, wanted, header_first, check_headers)
 
 
@@ -123,10 +128,11 @@ def type_instrument(text: DataFrame, instrument: str | Instrument,
         return text.select(F.col(f"`{DATETIME_HEADER}`").alias("datetime"), *cols,
                            F.col(f"`{UPDATE_TIME_HEADER}`").alias("update_time"),
                            "file_path")
-    dt = parse_utc(F.col(f"`{DATETIME_HEADER}`"), DATETIME_HEADER, "entsoe", required=True)
-    ut = parse_utc(F.col(f"`{UPDATE_TIME_HEADER}`"), UPDATE_TIME_HEADER, "entsoe",
-                   required=False)
-    return text.select(dt.alias("datetime"), *cols, ut.alias("update_time"), "file_path")
+    typed = text.select(F.col(f"`{DATETIME_HEADER}`").alias("datetime"), *cols,
+                        F.col(f"`{UPDATE_TIME_HEADER}`").alias("update_time"), "file_path")
+    typed = with_utc(typed, "datetime", required=True, field=DATETIME_HEADER, source="entsoe")
+    return with_utc(typed, "update_time", required=False, field=UPDATE_TIME_HEADER,
+                    source="entsoe")
 
 
 def scan_instrument(spark: SparkSession, paths: str | Sequence[str],

@@ -68,6 +68,9 @@ def test_format_round_trip(spark):
     ("2026-07-01 08:45:00+0000", dt.datetime(2026, 7, 1, 8, 45)),
     ("2026-07-01 08:45:00-00:00", dt.datetime(2026, 7, 1, 8, 45)),
     ("2026-07-01 08:45:00.123456789", dt.datetime(2026, 7, 1, 8, 45, 0, 123456)),
+    ("2026-07-01T08:45Z", dt.datetime(2026, 7, 1, 8, 45)),
+    ("2026-07-01 08:45+0000", dt.datetime(2026, 7, 1, 8, 45)),
+    ("\u3000 2026-07-01 08:45:00\u2028", dt.datetime(2026, 7, 1, 8, 45)),
     ("\t2026-07-01 08:45:00 ", dt.datetime(2026, 7, 1, 8, 45)),
 ])
 def test_accepted_shapes(spark, text, expected):
