@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +22,31 @@ class UnknownTableError(KeyError):
 
 
 def append_raw(df: DataFrame, path: str, load_id: int, load_col: str = "load_id") -> None:
-    """K1: append rows tagged with a (monotone) load id; never update."""
-    df.withColumn(load_col, F.lit(int(load_id)).cast("bigint")).write.mode("append").parquet(path)
+    """K1: append rows tagged with a monotone load id; never update.
 
+    Each load is its own ``load_id=<n>`` partition written with dynamic
+    overwrite: a retried load replaces itself instead of appending twice,
+    and later runs select new loads by partition pruning.
+    """
+    (df.withColumn(load_col, F.lit(int(load_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(load_col).parquet(path))
 
-def next_load_id(spark: SparkSession, path: str, load_col: str = "load_id") -> int:
-    """Next load id = max seen + 1 (one aggregate over the raw table's column)."""
+
+def loaded_ids(spark: SparkSession, path: str, load_col: str = "load_id") -> list[int]:
+    """Load ids present in a raw table, from its file listing (no Spark job)."""
     if not path_exists(spark, path):
-        return 1
-    mx = spark.read.parquet(path).agg(F.max(load_col)).first()[0]
-    return 1 if mx is None else int(mx) + 1
+        return []
+    pattern = re.compile(rf"/{re.escape(load_col)}=(\d+)/")
+    ids = {int(m.group(1)) for f in spark.read.parquet(path).inputFiles()
+           if (m := pattern.search(f))}
+    return sorted(ids)
+
+
+def next_load_id(spark: SparkSession, path: str, load_col: str = "load_id") -> int:
+    """Next load id = highest load partition + 1."""
+    ids = loaded_ids(spark, path, load_col)
+    return ids[-1] + 1 if ids else 1
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None,

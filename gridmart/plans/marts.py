@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.categories import (forecast_category, imbalance_direction,
                                     imbalance_price_category, measure_category)
-from ..operators.profile import distinct_rows
+from ..operators.profile import distinct_rows  # noqa: F401 (re-exported)
 from ..operators.reshape import unpivot_long
 from ..schemas import (FORECAST_MEASURES, GENERATION_MEASURES, IMBALANCE_MEASURES,
                        ZMB_MEASURES)
