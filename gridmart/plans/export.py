@@ -15,6 +15,8 @@ from ..schemas import DATETIME_HEADER
 
 # Timestamps as the source database's COPY writes them for UTC instants.
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ssx"
+# Wall-clock (NTZ) instants carry no offset; fractions are kept.
+CSV_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 class UnknownTableError(KeyError):
@@ -108,12 +110,13 @@ def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence,
                        single_file_max_rows: int | None = None) -> DataFrame:
     """K4: per table and year, rows of the year ordered by time, as CSV.
 
-    Output folder ``<out>/<table>_<year>.csv/``.  The ordering is a range
+    Output folder ``<out>/<table>_<year>.csv/``.  Row counts of all years
+    come from one aggregation first; then each year is written with a range
     partitioning on the time column plus a sort within partitions, so part
-    files are sorted and in order by name without a single-task sort; with
-    ``single_file_max_rows`` a year with at most that many rows (checked)
-    is written as one file.  Unknown tables are rejected; a table given as
-    None (missing) is skipped with a notice.  Returns (table, year, rows).
+    files are sorted and in order by name without a single-task sort.  With
+    ``single_file_max_rows`` a year with at most that many rows is written
+    as one file.  Unknown tables are rejected; a table given as None
+    (missing) is skipped with a notice.  Returns (table, year, rows).
     """
     if known is not None:
         unknown = sorted(set(tables) - set(known))
@@ -126,18 +129,21 @@ def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence,
             print(f"[SKIP] {name} does not exist")
             continue
         spark = df.sparkSession
+        per_year = {r["year"]: r["row_count"] for r in
+                    counts_by_year(df, ts_col, years).collect()}
         for year in years:
+            n = int(per_year.get(int(year), 0))
             rows = rows_for_year(df, ts_col, int(year), ordered=False)
-            n = rows.count()
             path = f"{out_dir.rstrip('/')}/{name}_{year}.csv"
+            order = F.col(ts_col).asc_nulls_last()
             if single_file_max_rows is not None and n <= single_file_max_rows:
-                out = rows.repartition(1).sortWithinPartitions(F.col(ts_col).asc_nulls_last())
+                out = rows.repartition(1).sortWithinPartitions(order)
             else:
-                out = rows.repartitionByRange(F.col(ts_col).asc_nulls_last()) \
-                    .sortWithinPartitions(F.col(ts_col).asc_nulls_last())
+                out = rows.repartitionByRange(order).sortWithinPartitions(order)
             (out.write.mode("overwrite").option("header", True).option("sep", ",")
-             .option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path))
-            counts.append((name, int(year), int(n)))
+             .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
+             .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT).csv(path))
+            counts.append((name, int(year), n))
             print(f"[OK] {name}_{year}.csv: {n} rows")
     if spark is None:
         return None
@@ -194,3 +200,27 @@ def merge_monthly_tsv(spark: SparkSession, paths, out_path: str, area: str | Non
 __all__ = ["append_raw", "next_load_id", "materialize", "mirror_table", "rows_for_year",
            "export_csv_by_year", "union_slices", "merge_monthly_tsv", "merged_headers",
            "MAX_FIELDS", "text_or_empty"]
+
+
+def merge_by_year(spark: SparkSession, landed_dir: str, instrument: str, years: Sequence,
+                  out_dir: str, area: str | None = None, limit: int | None = None,
+                  header_first: str = DATETIME_HEADER) -> dict:
+    """K5 per instrument and year: landed monthly files of each year (first
+    ``limit`` by name, M12) merged into ``<instrument>_<year>[_<area>].csv``.
+
+    Years come from the first four characters of the file names; the file
+    list is metadata (no content read).  Returns {year: rows}.
+    """
+    from ..operators.manifest import list_landed
+    files = (list_landed(spark, landed_dir, years)
+             .select("filename", "path").orderBy("filename").collect())
+    by_year: dict[str, list[str]] = {}
+    for r in files:
+        by_year.setdefault(r["filename"][:4], []).append(r["path"])
+    out = {}
+    for year in sorted(by_year):
+        paths = by_year[year][:limit] if limit else by_year[year]
+        suffix = f"_{area}" if area else ""
+        target = f"{out_dir.rstrip('/')}/{instrument}_{year}{suffix}.csv"
+        out[year] = merge_monthly_tsv(spark, paths, target, area, header_first)
+    return out

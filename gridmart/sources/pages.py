@@ -10,13 +10,15 @@ from ..functions.timeutc import to_date_strict, with_utc
 from ..schemas import ENTITIES, Entity, entity_row_schema, page_schema
 
 
-def read_pages(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
+               multi_line: bool = True) -> DataFrame:
     """Union of every page's ``value`` array; a page without it gives no rows.
 
-    One page per file, parsed by Spark's JSON reader with an explicit schema
-    (no inference) and exploded in the same stage.
+    Parsed by Spark's JSON reader with an explicit schema (no inference) and
+    exploded in the same stage.  ``multi_line=True``: one (pretty-printed)
+    page per file; ``False``: JSON Lines, one page per line, splittable.
     """
-    pages = (spark.read.schema(page_schema(row_schema)).option("multiLine", True)
+    pages = (spark.read.schema(page_schema(row_schema)).option("multiLine", multi_line)
              .json(path))
     return pages.select(F.explode("value").alias("r")).select("r.*")
 
