@@ -70,3 +70,48 @@ def split_rejects(df: DataFrame, ts_cols: dict, source: str = "gridmart"):
                .select(F.lit(source).alias("source"), "__rej.field", "__rej.value",
                        "__rej.reason", F.to_json(F.struct(*original)).alias("row")))
     return good, rejects
+
+
+# Declared tests of the published models: (model, column, test).
+DECLARED_TESTS = [
+    ("dim_area", "area_map_code", "unique"),
+    ("dim_area", "area_map_code", "not_null"),
+    ("stg_entsoe_generation_forecasts", "datetime", "not_null"),
+    ("stg_entsoe_generation_forecasts", "area_code", "not_null"),
+    ("stg_entsoe_generation_forecasts", "production_type", "not_null"),
+    ("stg_entsoe_imbalance_prices", "datetime", "not_null"),
+    ("stg_entsoe_imbalance_prices", "area_map_code", "not_null"),
+    ("stg_entsoe_aggregated_generation", "datetime", "not_null"),
+    ("stg_entsoe_aggregated_generation", "area_code", "not_null"),
+    ("stg_entsoe_aggregated_generation", "production_type", "not_null"),
+]
+
+
+def quality_report(models: dict, tests=None) -> DataFrame:
+    """Run declared tests as one report: (model, column_name, test, failures).
+
+    ``failures`` counts NULL rows (not_null) or key values occurring more
+    than once (unique).  Each model is scanned once for all its not-null
+    tests; models absent from ``models`` are skipped.
+    """
+    tests = DECLARED_TESTS if tests is None else tests
+    out = None
+    by_model: dict = {}
+    for model, col, test in tests:
+        by_model.setdefault(model, []).append((col, test))
+    for model, items in by_model.items():
+        df = models.get(model)
+        if df is None:
+            continue
+        nn = [c for c, t in items if t == "not_null"]
+        if nn:
+            part = check_not_null(df, nn).select(
+                F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
+                F.col("null_count").cast("bigint").alias("failures"))
+            out = part if out is None else out.unionByName(part)
+        for c in [c for c, t in items if t == "unique"]:
+            part = check_unique(df, [c]).agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                F.lit("unique").alias("test"), F.col("failures").cast("bigint"))
+            out = part if out is None else out.unionByName(part)
+    return out

@@ -139,7 +139,12 @@ def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence,
             if single_file_max_rows is not None and n <= single_file_max_rows:
                 out = rows.repartition(1).sortWithinPartitions(order)
             else:
-                out = rows.repartitionByRange(order).sortWithinPartitions(order)
+                # A row hash after the time splits a hot instant (many rows at
+                # one time) over several ranges; the time order is unchanged.
+                spread = F.xxhash64(*[F.col(c) for c in rows.columns]).alias("__h")
+                out = (rows.withColumn("__h", spread)
+                       .repartitionByRange(order, F.col("__h"))
+                       .sortWithinPartitions(order, F.col("__h")).drop("__h"))
             (out.write.mode("overwrite").option("header", True).option("sep", ",")
              .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
              .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT).csv(path))

@@ -438,3 +438,29 @@ SELECT e.resource, CAST(e.expected AS BIGINT) AS expected,
 FROM expected e LEFT JOIN per p ON e.resource = p.resource
 WHERE e.expected > 0""",
 }
+
+_NN = [("stg_entsoe_generation_forecasts", "stg_forecasts", ["datetime", "area_code", "production_type"], FCT_FORECASTS),
+       ("stg_entsoe_imbalance_prices", "stg_imbalance", ["datetime", "area_map_code"], FCT_IMBALANCE),
+       ("stg_entsoe_aggregated_generation", "stg_generation", ["datetime", "area_code", "production_type"], FCT_GENERATION)]
+
+
+def _quality_sql() -> str:
+    parts = []
+    for model, cte, cols, body in _NN:
+        for c in cols:
+            parts.append(f"(WITH {body} SELECT '{model}' AS model, '{c}' AS column_name, "
+                         f"'not_null' AS test, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) "
+                         f"AS failures FROM {cte})")
+    parts.append("(WITH " + STG_PRICES + ", dim AS (SELECT DISTINCT area_map_code, area_code, "
+                 "area_name, area_type_code FROM stg_prices) SELECT 'dim_area' AS model, "
+                 "'area_map_code' AS column_name, 'not_null' AS test, CAST(COUNT(*) FILTER "
+                 "(WHERE area_map_code IS NULL) AS BIGINT) AS failures FROM dim)")
+    parts.append("(WITH " + STG_PRICES + ", dim AS (SELECT DISTINCT area_map_code, area_code, "
+                 "area_name, area_type_code FROM stg_prices) SELECT 'dim_area' AS model, "
+                 "'area_map_code' AS column_name, 'unique' AS test, CAST(COUNT(*) AS BIGINT) "
+                 "AS failures FROM (SELECT area_map_code FROM dim WHERE area_map_code IS NOT NULL "
+                 "GROUP BY area_map_code HAVING COUNT(*) > 1))")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["quality_report"] = _quality_sql()

@@ -514,6 +514,18 @@ def q_profile_tables(spark, sf_dir):
     return profile.profile_tables(tables, "testdata").drop("columns")
 
 
+def q_quality_report(spark, sf_dir):
+    models = {
+        "dim_area": dim_area_df(spark, sf_dir),
+        "stg_entsoe_imbalance_prices": staging.stg_imbalance_prices(raw_imbalance(spark, sf_dir)),
+        "stg_entsoe_aggregated_generation": staging.stg_aggregated_generation(
+            raw_generation(spark, sf_dir)),
+        "stg_entsoe_generation_forecasts": staging.stg_generation_forecasts(
+            raw_forecasts(spark, sf_dir)),
+    }
+    return quality.quality_report(models)
+
+
 def _log_lines(spark, sf_dir) -> DataFrame:
     """Ingest log text derived from events: a started line per event, and a
     done line for the ones that finished; one run-start line."""
@@ -581,4 +593,5 @@ QUERIES = {
     "time_range": q_time_range,
     "profile_tables": q_profile_tables,
     "load_progress": q_load_progress,
+    "quality_report": q_quality_report,
 }

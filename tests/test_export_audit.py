@@ -54,3 +54,21 @@ def test_load_progress(spark):
     assert t0 == "2026-09-11 10:00:00"
     rate, left = audit.eta(63, 4, dt.datetime(2026, 9, 11, 10), dt.datetime(2026, 9, 11, 10, 2))
     assert rate == pytest.approx(2.0) and left == pytest.approx(29.5)
+
+
+def test_summary_lines(spark):
+    lines = audit.read_log(spark, fx("backfill.log"))
+    prog = audit.load_progress(audit.parse_events(lines), audit.expected_frame(spark))
+    out = audit.summary(prog, dt.datetime(2026, 9, 11, 10), dt.datetime(2026, 9, 11, 10, 2))
+    assert out[0] == "START: 2026-09-11 10:00:00 | files: started=3/63, done=2/63"
+    assert any(line.startswith("  imbalance_prices: started=2/21 done=1/21 rows=123")
+               for line in out)
+    assert out[-1].startswith("  rate ~1.5 files/min")
+
+
+def test_quality_report(spark):
+    from gridmart.operators.quality import quality_report
+    dim = spark.createDataFrame([("PL", "a"), ("PL", "b"), (None, "c")],
+                                "area_map_code string, area_code string")
+    got = {(r["test"], r["failures"]) for r in quality_report({"dim_area": dim}).collect()}
+    assert got == {("unique", 1), ("not_null", 1)}
