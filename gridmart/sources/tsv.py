@@ -23,7 +23,10 @@ from ..operators.joins import broadcast_if_small
 from ..schemas import (COMMON_HEADERS, DATETIME_HEADER, INSTRUMENTS, UPDATE_TIME_HEADER,
                        Instrument)
 
-MAX_FIELDS = 64
+# Width of the positional read.  Parse cost grows with it; the source files
+# have at most 17 columns.  A header that fills the last field fails the job
+# (the file may be wider), so a too-small width is never silent.
+MAX_FIELDS = 32
 MAX_FILES_BROADCAST = 1_000_000
 
 
@@ -57,28 +60,38 @@ def map_by_header(rows: DataFrame, wanted: Sequence[str],
                   header_first: str = DATETIME_HEADER, check_headers: bool = True) -> DataFrame:
     """Positional rows (``cells``, ``file_path``) -> text columns by header name.
 
-    Each file's header row is the row naming ``header_first`` in any position
-    (so files with reordered columns are found too); every wanted column
-    is taken from the position its name has in that file's header.  Also
-    used on streaming micro-batches (a file is always whole in one batch).
+    A file's header row is the row naming ``header_first`` in any position
+    (so files with reordered columns are found too).  The position of every
+    wanted name is computed once per *file*, in the small header table; the
+    data rows then take each column with one ``element_at``.  Also used on
+    streaming micro-batches (a file is always whole in one batch).
     """
+    cells = F.col("cells")
+    # array_contains is NULL for arrays holding NULLs (empty cells): coalesce.
+    is_header = F.coalesce(F.array_contains(cells, F.lit(header_first)), F.lit(False)) \
+        | F.coalesce(strip_text(cells[0]) == F.lit(header_first), F.lit(False))
     stripped = F.transform("cells", lambda c: F.coalesce(strip_text(c), F.lit("")))
-    is_header = F.array_contains(stripped, F.lit(header_first))
+    positions = [F.array_position("__h", F.lit(name)).cast("int").alias(f"__p{i}")
+                 for i, name in enumerate(wanted)]
     headers = (rows.where(is_header)
-               .select("file_path", stripped.alias("header"))
-               .dropDuplicates(["file_path"]))
+               .select("file_path", stripped.alias("__h"))
+               .dropDuplicates(["file_path"])
+               .select("file_path", F.lit(True).alias("__has_header"),
+                       (F.element_at("__h", -1) != "").alias("__too_wide"), *positions))
     data = rows.where(~is_header)
     joined = data.join(_bounded_broadcast(rows, headers), "file_path", "left")
     if check_headers:
         # A file without a header line fails the same job (no extra pass).
         missing = F.concat(F.lit("file without header line: "), F.col("file_path"))
-        joined = joined.where(F.when(F.col("header").isNull(), F.raise_error(missing))
+        joined = joined.where(F.when(F.col("__has_header").isNull(), F.raise_error(missing))
                               .isNull())
-    # element_at(…, 0) is an error under ANSI; guard positions of absent names.
+    wide = F.concat(F.lit("header may have more fields than read; raise max_fields: "),
+                    F.col("file_path"))
+    joined = joined.where(F.when(F.col("__too_wide"), F.raise_error(wide)).isNull())
     cols = []
-    for name in wanted:
-        pos = F.array_position("header", F.lit(name))
-        cols.append(F.when(pos > 0, text_or_empty(F.element_at("cells", pos.cast("int"))))
+    for i, name in enumerate(wanted):
+        pos = F.col(f"__p{i}")
+        cols.append(F.when(pos > 0, text_or_empty(F.element_at(cells, pos)))
                     .otherwise(F.lit("")).alias(name))
     return joined.select(*cols, "file_path")
 

@@ -78,3 +78,12 @@ def test_entity_timestamps_strict(spark):
     rows = read_entity(spark, fx("pse", "cor"), "cor").collect()
     assert len(rows) == 2
     assert {_naive(r["dtime_utc"]).hour for r in rows} == {0, 1}
+
+
+def test_too_wide_file_fails_not_truncates(spark, tmp):
+    p = f"{tmp}/wide.csv"
+    header = ["DateTime(UTC)"] + [f"C{i}" for i in range(40)]
+    open(p, "w").write("\t".join(header) + "\n" + "\t".join(["2026-09-01 00:00:00"] + ["x"] * 40) + "\n")
+    with pytest.raises(Exception, match="max_fields"):
+        scan_tsv(spark, p, ["C39"]).collect()
+    assert scan_tsv(spark, p, ["C39"], max_fields=64).collect()[0]["C39"] == "x"
