@@ -102,10 +102,17 @@ def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None
 
 
 def run_pse(spark: SparkSession, root: str, seed: bool = False, start: str | None = None,
-            dates: Sequence[str] | None = None, on_error: str = "skip") -> dict:
-    """G1 for PSE: landed pages -> rows by dates or by publication watermark."""
+            dates: Sequence[str] | None = None, on_error: str = "skip",
+            entities: dict | None = None, lookback_days: int = 3, today=None) -> dict:
+    """G1 for PSE: landed pages -> rows by dates or by publication watermark.
+
+    Explicit ``dates`` win over increments; entities whose strategy is
+    ``business_date`` take the last ``lookback_days`` days; the others take
+    rows published after the watermark (an explicit ``start`` wins over the
+    state; no start and no state loads nothing).
+    """
     report = {}
-    for key, ent in ENTITIES.items():
+    for key, ent in (entities or ENTITIES).items():
         wm_path = _p(root, "state", "pse", key)
         current = _read_state(spark, wm_path)
         if seed:
@@ -114,8 +121,10 @@ def run_pse(spark: SparkSession, root: str, seed: bool = False, start: str | Non
             continue
         try:
             rows = read_entity(spark, _p(root, "landing", "pse", key), ent)
-            if dates:
-                chosen = incremental.by_business_dates(rows, "business_date", dates)
+            if dates or ent.incremental == "business_date":
+                # explicit days win; the heavy strategy takes the last few days
+                days = dates or incremental.lookback_days(lookback_days, today)
+                chosen = incremental.by_business_dates(rows, "business_date", days)
                 new_wm = None
             else:
                 last = start or (current.first()["watermark"] if current is not None else None)

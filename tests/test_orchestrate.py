@@ -87,3 +87,24 @@ def test_unknown_instrument():
 def test_seed_records_state_without_loading(spark, root):
     assert O.run_entsoe(spark, root, seed=True)["energy_prices"] == "seeded"
     assert O.run_entsoe(spark, root) == {k: 0 for k in INSTRUMENTS}
+
+
+def test_business_date_strategy_and_signature(spark, root):
+    import datetime as dt
+    from gridmart.schemas import Entity, ZMB_MEASURES
+    heavy = {"zmb": Entity("zmb", "zmb", tuple(ZMB_MEASURES), incremental="business_date")}
+    assert O.run_pse(spark, root, entities=heavy, today=dt.date(2026, 9, 9)) == {"zmb": "loaded"}
+    raw = spark.read.parquet(f"{root}/raw_pse/zmb")
+    assert raw.count() == 9  # 2026-09-08 is within the last 3 days of 2026-09-09
+    assert sync.signature_of(spark, f"{root}/raw_pse/zmb", None) == (9, None)
+    assert sync.signature_of(spark, f"{root}/nope", "ts") is None
+
+
+def test_merge_by_year(spark, root, tmp):
+    from gridmart.plans.export import merge_by_year
+    out = merge_by_year(spark, f"{root}/landing/{INSTRUMENTS['energy_prices'].folder}",
+                        "energy_prices", [2026], f"{tmp}/merged", area="PL", limit=2)
+    # by name: 2026_09_02_ (1 PL row), 2026_09_03_ (none), 2026_09_Energy... (2)
+    assert out == {"2026": 1}
+    assert merge_by_year(spark, f"{root}/landing/{INSTRUMENTS['energy_prices'].folder}",
+                         "energy_prices", [2026], f"{tmp}/merged2", area="PL") == {"2026": 3}
