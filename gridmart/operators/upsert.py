@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, scratch_path
+from ..session import path_exists, staged_copy
 
 
 def reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,11 +60,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame,
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
     merged = merge_rows(touched_partitions(target, source, partition_col), source, keys)
-    staged = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").parquet(staged)
-    (spark.read.parquet(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    with staged_copy(merged, "upsert-stage") as staged:
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
     return spark.read.parquet(path)
 
 

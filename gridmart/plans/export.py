@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, scratch_path
+from ..session import path_exists, staged_copy
 from ..sources.tsv import MAX_FIELDS, read_positional
 from ..functions.text import strip_text, text_or_empty
 from ..schemas import DATETIME_HEADER
@@ -70,14 +70,11 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
 def mirror_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K3: full copy replacing the target (staged first, so a target that is
     also read by ``df`` is never deleted under a running job)."""
-    spark = df.sparkSession
-    staged = scratch_path(spark, "mirror")
-    df.write.mode("overwrite").parquet(staged)
-    w = spark.read.parquet(staged).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with staged_copy(df, "mirror") as staged:
+        w = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
 
 
 def rows_for_year(df: DataFrame, ts_col: str, year: int, ordered: bool = True) -> DataFrame:
@@ -193,12 +190,10 @@ def merge_monthly_tsv(spark: SparkSession, paths, out_path: str, area: str | Non
     df = scan_tsv(spark, paths, names, header_first=header_first).drop("file_path")
     if area is not None:
         df = df.where(F.col("`AreaMapCode`") == area)
-    staged = scratch_path(spark, "merge-monthly")
-    df.write.mode("overwrite").parquet(staged)
-    merged = spark.read.parquet(staged)
-    n = merged.count()
-    (merged.write.mode("overwrite").option("sep", "\t").option("header", True)
-     .option("quote", '"').option("escape", '"').csv(out_path))
+    with staged_copy(df, "merge-monthly") as merged:
+        n = merged.count()
+        (merged.write.mode("overwrite").option("sep", "\t").option("header", True)
+         .option("quote", '"').option("escape", '"').csv(out_path))
     return n
 
 

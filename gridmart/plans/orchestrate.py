@@ -22,7 +22,7 @@ from ..operators import incremental, manifest, quality
 from ..operators.incremental import by_time_days as incremental_days
 from ..operators.upsert import upsert_table
 from ..schemas import ENTITIES, INSTRUMENTS, PUBLISHED
-from ..session import path_exists, scratch_path
+from ..session import path_exists, staged_copy
 from ..sources.pages import read_entity
 from ..sources.tsv import scan_instrument
 from . import marts as M
@@ -53,10 +53,8 @@ def _read_state(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _write_small(df: DataFrame, path: str) -> None:
-    spark = df.sparkSession
-    staged = scratch_path(spark, "state")
-    df.write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+    with staged_copy(df, "state") as staged:
+        staged.write.mode("overwrite").parquet(path)
 
 
 def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None = None,

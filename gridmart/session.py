@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -101,3 +102,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+
+
+@contextmanager
+def staged_copy(df, tag: str):
+    """Write ``df`` to a fresh folder under the checkpoint root and yield it
+    read back: the lineage is cut there, so later jobs (and retries after a
+    lost executor) read the staged files, never the inputs being replaced.
+
+    The folder is removed once the block has succeeded (nothing references
+    it then); after a failure it is left for inspection.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.mode("overwrite").parquet(path)
+    yield spark.read.parquet(path)
+    delete_path(spark, path)

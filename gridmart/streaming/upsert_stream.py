@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe_latest
 from ..operators.upsert import touched_partitions
-from ..session import path_exists, scratch_path
+from ..session import path_exists, staged_copy
 
 PART = "part_date"
 
@@ -34,10 +34,9 @@ def merge_latest(spark: SparkSession, path: str, batch: DataFrame, grain: Sequen
     rows = rows.select(*target.columns)
     both = touched_partitions(target, rows, PART).unionByName(rows)
     merged = dedupe_latest(both, grain, order_by=(load_col,), tiebreak=tiebreak)
-    staged = scratch_path(spark, "stream-upsert")
-    merged.write.mode("overwrite").parquet(staged)
-    (spark.read.parquet(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
+    with staged_copy(merged, "stream-upsert") as staged:
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(PART).parquet(path))
 
 
 def stream_upsert_latest(spark: SparkSession, source: DataFrame, path: str, checkpoint: str,
