@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -123,7 +124,7 @@ def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence,
     spark = None
     for name, df in tables.items():
         if df is None:
-            print(f"[SKIP] {name} does not exist")
+            print(f"[SKIP] {name} does not exist", file=sys.stderr)
             continue
         spark = df.sparkSession
         per_year = {r["year"]: r["row_count"] for r in
@@ -146,7 +147,7 @@ def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence,
              .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
              .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT).csv(path))
             counts.append((name, int(year), n))
-            print(f"[OK] {name}_{year}.csv: {n} rows")
+            print(f"[OK] {name}_{year}.csv: {n} rows", file=sys.stderr)
     if spark is None:
         return None
     return spark.createDataFrame(counts, "table_name string, year int, row_count long")
