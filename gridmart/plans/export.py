@@ -58,7 +58,7 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path is None:

@@ -2,7 +2,8 @@
 
 All settings the library relies on are set here once: UTC session time zone,
 ANSI mode, adaptive execution (coalescing, skew-join splitting and runtime
-broadcast), and dynamic partition overwrite for partition-wise upserts.
+broadcast).  Partition overwrite mode is given per write (dynamic for
+partition-wise upserts and loads, static for full refreshes), never globally.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
