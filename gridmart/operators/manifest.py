@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -122,13 +123,20 @@ def landed_unread(manifest: DataFrame, landed: DataFrame, overwrite: bool = Fals
 
 
 def list_landed(spark: SparkSession, path: str, years: Iterable | None = None) -> DataFrame:
-    """Landed files (name, size, mtime) from file metadata only.
+    """Landed files (name, path, size, mtime) from file metadata only.
 
-    The binaryFile source reads content only when that column is selected.
+    ``filename`` is the entry directly under the landing folder: a file, or
+    a ``<name>.csv/`` folder of part files as Spark writes it (every part
+    file is listed under that one name).  The binaryFile source reads
+    content only when that column is selected.
     """
-    df = (spark.read.format("binaryFile").load(path)
-          .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"),
-                  "path", "length", "modificationTime"))
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    root = str(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+               .makeQualified(hpath).toString()).rstrip("/")
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+          .select(F.regexp_extract("path", "^" + re.escape(root) + r"/([^/]+)", 1)
+                  .alias("filename"), "path", "length", "modificationTime"))
     if years is not None:
         df = df.where(year_prefix("filename").isin([str(y) for y in years]))
     return df

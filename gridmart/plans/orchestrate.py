@@ -85,7 +85,8 @@ def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None
         todo = manifest.changed_files(chosen, state, force)
         landed = manifest.list_landed(spark, _p(root, "landing", inst.folder))
         todo = todo.join(landed.select("filename", "path"), "filename")
-        paths = [r["path"] for r in todo.select("path").distinct().collect()]
+        found = todo.select("filename", "path").distinct().collect()
+        paths = [r["path"] for r in found]
         if not paths:
             report[key] = 0
             continue
@@ -93,7 +94,7 @@ def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None
         rows = scan_instrument(spark, paths, inst).drop("file_path")
         append_raw(rows, raw_path, next_load_id(spark, raw_path))
         state = manifest.commit_state(state, todo)
-        report[key] = len(paths)
+        report[key] = len({r["filename"] for r in found})
     if state is not None:
         _write_small(state, state_path)
     return report

@@ -107,7 +107,40 @@ def q_pages_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
 
+def q_ingest_and_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + G2 on a landing area Spark builds from the events: three day
+    slices of raw prices (each a folder of part files in two header
+    layouts) and an export log listing them; the price mart is returned."""
+    from ..schemas import INSTRUMENTS
+    from .orchestrate import run_entsoe, run_models
+    root = scratch_path(spark, "lake")
+    folder = INSTRUMENTS["energy_prices"].folder
+    raw = testbed.raw_prices(spark, sf_dir)
+    day = F.dayofmonth("datetime")
+    slices = [("2024_01_01", day < 11), ("2024_01_11", (day >= 11) & (day < 21)),
+              ("2024_01_21", day >= 21)]
+    names = []
+    for prefix, cond in slices:
+        name = f"{prefix}_{folder}.csv"
+        land_prices_two_layouts(raw.where(cond), f"{root}/landing/{folder}/{name}", files=2)
+        names.append((name, cond))
+    label = F.lit(None).cast("string")
+    for name, cond in reversed(names):
+        label = F.when(cond, F.lit(name)).otherwise(label)
+    log = (raw.groupBy(label.alias("file_name"))
+           .agg(F.date_format(F.max("update_time"), "yyyy-MM-dd'T'HH:mm:ss")
+                .alias("max_update_time(UTC)")))
+    (log.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True)
+     .csv(f"{root}/manifest"))
+    loaded = run_entsoe(spark, root, instruments=["energy_prices"])
+    if loaded != {"energy_prices": 3}:
+        raise RuntimeError(f"unexpected ingest report {loaded}")
+    built = run_models(spark, root, checks=False)
+    return testbed.ntz(spark.read.parquet(built["fct_energy_prices"]).drop("part_date"))
+
+
 QUERIES = {
+    "ingest_and_models": q_ingest_and_models,
     "tsv_scan_by_name": q_tsv_scan_by_name,
     "merge_monthly_files": q_merge_monthly_files,
     "upsert_partitioned": q_upsert_partitioned,
@@ -122,6 +155,9 @@ SELECT datetime, resolution_code, area_code, area_name, area_type_code, area_map
 FROM raw_prices"""
 
 SQL = {
+    # one load: ties on the load id fall to the newest update time
+    "ingest_and_models": oracle.SQL["fct_prices"].replace(
+        "ORDER BY load_id DESC", "ORDER BY update_time DESC"),
     "tsv_scan_by_name": "WITH " + oracle.RAW_PRICES + _LANDED,
     "merge_monthly_files": "WITH " + oracle.RAW_PRICES + _LANDED
     + "\nWHERE area_map_code = 'NATION_3'",
