@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists, staged_copy
-from ..sources.tsv import MAX_FIELDS, read_positional
-from ..functions.text import strip_text, text_or_empty
+from ..sources.tsv import read_positional
+from ..functions.text import strip_text
 from ..schemas import DATETIME_HEADER
 
 # Timestamps as the source database's COPY writes them for UTC instants.
@@ -198,11 +198,6 @@ def merge_monthly_tsv(spark: SparkSession, paths, out_path: str, area: str | Non
     return n
 
 
-__all__ = ["append_raw", "next_load_id", "materialize", "mirror_table", "rows_for_year",
-           "export_csv_by_year", "union_slices", "merge_monthly_tsv", "merged_headers",
-           "MAX_FIELDS", "text_or_empty"]
-
-
 def merge_by_year(spark: SparkSession, landed_dir: str, instrument: str, years: Sequence,
                   out_dir: str, area: str | None = None, limit: int | None = None,
                   header_first: str = DATETIME_HEADER) -> dict:
