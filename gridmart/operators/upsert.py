@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, staged_copy
+from ..session import read_parquet_or_none, staged_copy
 
 
 def reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,10 +55,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame,
     files).  Then the staged rows overwrite just those partitions.
     """
     source = reject_null_keys(source, keys)
-    if not path_exists(spark, path):
+    target = read_parquet_or_none(spark, path)
+    if target is None:
         source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.parquet(path)
-    target = spark.read.parquet(path)
     merged = merge_rows(touched_partitions(target, source, partition_col), source, keys)
     with staged_copy(merged, "upsert-stage") as staged:
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

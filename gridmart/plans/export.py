@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, staged_copy
+from ..session import read_parquet_or_none, staged_copy
 from ..sources.tsv import read_positional
 from ..functions.text import strip_text
 from ..schemas import DATETIME_HEADER
@@ -38,11 +38,11 @@ def append_raw(df: DataFrame, path: str, load_id: int, load_col: str = "load_id"
 
 def loaded_ids(spark: SparkSession, path: str, load_col: str = "load_id") -> list[int]:
     """Load ids present in a raw table, from its file listing (no Spark job)."""
-    if not path_exists(spark, path):
+    table = read_parquet_or_none(spark, path)
+    if table is None:
         return []
     pattern = re.compile(rf"/{re.escape(load_col)}=(\d+)/")
-    ids = {int(m.group(1)) for f in spark.read.parquet(path).inputFiles()
-           if (m := pattern.search(f))}
+    ids = {int(m.group(1)) for f in table.inputFiles() if (m := pattern.search(f))}
     return sorted(ids)
 
 

@@ -22,7 +22,7 @@ from ..operators import incremental, manifest, quality
 from ..operators.incremental import by_time_days as incremental_days
 from ..operators.upsert import upsert_table
 from ..schemas import ENTITIES, INSTRUMENTS, PUBLISHED
-from ..session import path_exists, staged_copy
+from ..session import read_parquet_or_none, staged_copy
 from ..sources.pages import read_entity
 from ..sources.tsv import scan_instrument
 from . import marts as M
@@ -49,7 +49,7 @@ def select_instruments(names: Sequence[str] | None = None) -> list[str]:
 
 
 def _read_state(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return read_parquet_or_none(spark, path)
 
 
 def _write_small(df: DataFrame, path: str) -> None:
@@ -59,12 +59,15 @@ def _write_small(df: DataFrame, path: str) -> None:
 
 def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None = None,
                seed: bool = False, selected_files: Sequence[str] | None = None,
-               latest_only: bool = False, years=None, force: bool = False) -> dict:
+               latest_only: bool = False, years=None, force: bool = False,
+               on_error: str = "fail") -> dict:
     """G1 for ENTSO-E: manifest diff -> scan chosen files -> append -> commit state.
 
     The driver only sees the list of chosen file paths.  State is committed
     after the raw write succeeded (a crash in between reloads the files,
-    which the latest-wins staging absorbs).
+    which the latest-wins staging absorbs).  ``on_error="fail"`` aborts on a
+    bad instant (the source's behaviour); ``"reject"`` appends the good rows
+    and writes the bad ones to ``rejects/<resource>`` under the same load id.
     """
     log = manifest.read_manifest(spark, _p(root, "manifest"))
     state_path = _p(root, "state", "files")
@@ -91,8 +94,15 @@ def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None
             report[key] = 0
             continue
         raw_path = _p(root, "raw", inst.resource)
-        rows = scan_instrument(spark, paths, inst).drop("file_path")
-        append_raw(rows, raw_path, next_load_id(spark, raw_path))
+        load_id = next_load_id(spark, raw_path)
+        if on_error == "reject":
+            text = scan_instrument(spark, paths, inst, on_error="keep").drop("file_path")
+            rows, rejects = quality.split_rejects(
+                text, {"datetime": True, "update_time": False}, source="entsoe")
+            append_raw(rejects, _p(root, "rejects", inst.resource), load_id)
+        else:
+            rows = scan_instrument(spark, paths, inst).drop("file_path")
+        append_raw(rows, raw_path, load_id)
         state = manifest.commit_state(state, todo)
         report[key] = len({r["filename"] for r in found})
     if state is not None:
@@ -171,9 +181,9 @@ def run_models(spark: SparkSession, root: str, checks: bool = True,
     """
     stg, commits = {}, {}
     for name, fn, path, tcol, key in _raw_sources(root):
-        if not path_exists(spark, path):
+        raw = read_parquet_or_none(spark, path)
+        if raw is None:
             continue
-        raw = spark.read.parquet(path)
         if incremental:
             state_path = _p(root, "state", "models", key)
             state = _read_state(spark, state_path)
@@ -199,11 +209,11 @@ def run_models(spark: SparkSession, root: str, checks: bool = True,
         if keys is not None:
             upsert_table(spark, path, M.with_partition_date(df, tcol), keys, "part_date")
         elif tcol is None:
-            if incremental and path_exists(spark, path):
+            if incremental and read_parquet_or_none(spark, path) is not None:
                 df = M.distinct_rows(spark.read.parquet(path).unionByName(df),
                                      M.DIM_AREA_COLUMNS)
             mirror_table(df, path)
-        elif incremental and path_exists(spark, path):
+        elif incremental and read_parquet_or_none(spark, path) is not None:
             (M.with_partition_date(df, tcol).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("part_date").parquet(path))
         else:

@@ -118,3 +118,15 @@ def staged_copy(df, tag: str):
     df.write.mode("overwrite").parquet(path)
     yield spark.read.parquet(path)
     delete_path(spark, path)
+
+
+def read_parquet_or_none(spark: SparkSession, path: str):
+    """The Parquet table at ``path``, or None when it is missing or holds no
+    data files yet (e.g. a first write that failed)."""
+    from pyspark.errors import AnalysisException
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None

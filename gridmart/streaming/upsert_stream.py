@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe_latest
 from ..operators.upsert import touched_partitions
-from ..session import path_exists, staged_copy
+from ..session import read_parquet_or_none, staged_copy
 
 PART = "part_date"
 
@@ -27,10 +27,10 @@ def merge_latest(spark: SparkSession, path: str, batch: DataFrame, grain: Sequen
     """Merge one batch into the table at ``path`` (latest load id wins)."""
     rows = dedupe_latest(batch, grain, order_by=(load_col,), tiebreak=tiebreak) \
         .withColumn(PART, F.to_date(F.col(time_col)))
-    if not path_exists(spark, path):
+    target = read_parquet_or_none(spark, path)
+    if target is None:
         rows.write.mode("overwrite").partitionBy(PART).parquet(path)
         return
-    target = spark.read.parquet(path)
     rows = rows.select(*target.columns)
     both = touched_partitions(target, rows, PART).unionByName(rows)
     merged = dedupe_latest(both, grain, order_by=(load_col,), tiebreak=tiebreak)

@@ -108,3 +108,16 @@ def test_merge_by_year(spark, root, tmp):
     assert out == {"2026": 1}
     assert merge_by_year(spark, f"{root}/landing/{INSTRUMENTS['energy_prices'].folder}",
                          "energy_prices", [2026], f"{tmp}/merged2", area="PL") == {"2026": 3}
+
+
+def test_reject_mode_keeps_good_rows(spark, root):
+    folder = INSTRUMENTS["energy_prices"].folder
+    with open(f"{root}/landing/{folder}/2026_09_03_EnergyPrices_12.1.D_r3.1.csv", "a") as fh:
+        fh.write("2026-09-03 05:00:00+02:00\tPT60M\tX\tX\tBZN\tCZ\tDay-ahead\t1\tEUR\t\n")
+    with pytest.raises(Exception):
+        O.run_entsoe(spark, root, instruments=["energy_prices"])
+    report = O.run_entsoe(spark, root, instruments=["energy_prices"], on_error="reject")
+    assert report == {"energy_prices": 3}
+    rej = spark.read.parquet(f"{root}/rejects/energy_prices").collect()
+    assert [(r["field"], r["reason"]) for r in rej] == [("datetime", "non-UTC offset")]
+    assert spark.read.parquet(f"{root}/raw/energy_prices").count() == 7
