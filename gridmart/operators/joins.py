@@ -14,9 +14,20 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows + 1`` rows."""
+    """Hint a broadcast only after counting at most ``max_rows + 1`` rows.
+
+    The candidate is persisted first (memory and disk, recomputable from its
+    lineage if an executor is lost), so a derived side -- a DISTINCT over a
+    deduplicated fact, a header table found by scanning every file -- is
+    computed once: the size check fills the cache and the broadcast build
+    reads it.  A side over the bound is unpersisted and joined by shuffle.
+    """
+    df = df.persist()
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    df.unpersist()
+    return df
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],

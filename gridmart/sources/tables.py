@@ -16,5 +16,17 @@ def read_table(spark: SparkSession, name_or_path: str,
     return df.select(*columns) if columns else df
 
 
+# Schemas of the read-only input tables, per path: a later read passes the
+# schema and skips inference (footer reads); every read is still a fresh
+# relation, so self-joins keep distinct attributes.
+_SCHEMAS: dict = {}
+
+
 def read_sf_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)

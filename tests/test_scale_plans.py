@@ -73,3 +73,20 @@ def test_window_bound_is_pushed_into_the_scan(spark):
 def test_only_needed_columns_are_read(spark):
     p = plan(quality.check_unique(testbed._t(spark, SF, "lineitem"), ["l_orderkey", "l_linenumber"]))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in p
+
+
+def test_checked_broadcast_side_is_computed_once(spark):
+    # a derived dimension (DISTINCT over a fact): the size check fills the
+    # cache and the broadcast build reads it instead of recomputing the fact
+    fact = spark.range(50000).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    dim = fact.select("k").distinct().withColumn("name", F.concat(F.lit("k"), F.col("k")))
+    small = broadcast_if_small(dim, 100)
+    try:
+        assert small.storageLevel.useMemory or small.storageLevel.useDisk
+        p = plan(fact.join(small, "k", "left"))
+        assert "BroadcastHashJoin" in p and "InMemoryRelation" in p
+        assert fact.join(small, "k", "left").count() == 50000
+    finally:
+        small.unpersist()
+    big = broadcast_if_small(dim, 10)  # over the bound: not kept in the cache
+    assert not (big.storageLevel.useMemory or big.storageLevel.useDisk)
