@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import read_parquet_or_none, staged_copy
+from ..session import read_parquet_or_none, staged_copy, staged_copy_if_reads
 from ..sources.tsv import read_positional
 from ..functions.text import strip_text
 from ..schemas import DATETIME_HEADER
@@ -69,9 +69,9 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
 
 
 def mirror_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """K3: full copy replacing the target (staged first, so a target that is
-    also read by ``df`` is never deleted under a running job)."""
-    with staged_copy(df, "mirror") as staged:
+    """K3: full copy replacing the target (staged first only when ``df``
+    also reads the target, so it is never deleted under a running job)."""
+    with staged_copy_if_reads(df, path, "mirror") as staged:
         w = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -120,6 +121,44 @@ def staged_copy(df, tag: str):
     delete_path(spark, path)
 
 
+def _location(uri: str) -> tuple:
+    u = urlparse(uri)
+    return (u.scheme or "file", u.netloc, u.path.rstrip("/"))
+
+
+def reads_path(df, path: str) -> bool:
+    """Whether ``df`` reads any file at or under ``path``.
+
+    Decided from the plan's file listing on the driver (no Spark job); a
+    missing target cannot be read.
+    """
+    spark = df.sparkSession
+    if not path_exists(spark, path):
+        return False
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    scheme, host, root = _location(fs.makeQualified(hpath).toString())
+    for f in df.inputFiles():
+        s2, h2, p2 = _location(f)
+        if s2 == scheme and h2 == host and (p2 == root or p2.startswith(root + "/")):
+            return True
+    return False
+
+
+@contextmanager
+def staged_copy_if_reads(df, path: str, tag: str):
+    """``df`` itself when it does not read ``path``; otherwise a staged copy
+    (see :func:`staged_copy`), so replacing ``path`` never deletes files a
+    running or retried task still reads.  A full refresh of a big table is
+    then written once instead of twice."""
+    if reads_path(df, path):
+        with staged_copy(df, tag) as staged:
+            yield staged
+    else:
+        yield df
+
+
 def read_parquet_or_none(spark: SparkSession, path: str):
     """The Parquet table at ``path``, or None when it is missing or holds no
     data files yet (e.g. a first write that failed)."""

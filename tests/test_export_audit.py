@@ -72,3 +72,22 @@ def test_quality_report(spark):
                                 "area_map_code string, area_code string")
     got = {(r["test"], r["failures"]) for r in quality_report({"dim_area": dim}).collect()}
     assert got == {("unique", 1), ("not_null", 1)}
+
+
+def test_mirror_stages_only_a_self_read(spark, tmp):
+    from pyspark.sql import functions as F
+    from gridmart.plans.export import mirror_table
+    from gridmart.session import reads_path
+    target = f"{tmp}/mirror"
+    src = spark.range(100).withColumn("v", F.col("id") * 2)
+    assert not reads_path(src, target)  # missing target
+    mirror_table(src, target)
+    first = spark.read.parquet(target)
+    assert first.count() == 100
+    assert reads_path(first, target) and reads_path(first, "file:" + target)
+    assert not reads_path(src, target)
+    assert not reads_path(first, target + "-other")
+    # a refresh computed from the target itself is staged, so it survives
+    mirror_table(first.where("id < 40").withColumn("v", F.col("v") + 1), target)
+    out = spark.read.parquet(target)
+    assert out.count() == 40 and out.agg(F.sum("v")).first()[0] == sum(2 * i + 1 for i in range(40))
