@@ -147,8 +147,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)), bounds.astype(np.int64)
 
 
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the ``size``-word shingles of one text.
+def shingle_sequence(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the ``size``-word shingles of one text, in order.
 
     A shorter text is one shingle, a text without words has none.
     """
@@ -160,7 +160,12 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         value = np.full(n - width + 1, width, dtype=np.uint64)
         for k in range(width):
             value = scrambled(value * np.uint64(0xD6E8FEB86659FD93) + words[k:n - width + 1 + k])
-    return np.unique(value)
+    return value
+
+
+def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of one text."""
+    return np.unique(shingle_sequence(words, size))
 
 
 def packed(values: np.ndarray) -> bytes:

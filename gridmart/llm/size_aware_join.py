@@ -4,9 +4,11 @@ Two documents link when their shingle sets have Jaccard similarity of at least
 ``percent`` / 100.  Equal sets are one class from the start, so groups of exact
 copies cost one set.  Between the classes:
 
-* every set is ordered by a sketch of document frequencies (rare first), and
-  only a prefix of it can decide; ``misses`` is how many elements a partner may
-  lack, size - ceil(percent * size / 100);
+* every set is ordered rare first, and only a prefix of it can decide; ``misses``
+  is how many elements a partner may lack, size - ceil(percent * size / 100).
+  Rarity comes from two sketches of fixed size over all documents: shingles of
+  buckets that are loaded far above the mean come last, the others by how
+  frequent their words are;
 * a light set enumerates all 2-subsets of its first ``misses`` + 2 elements:
   two light sets that link share one of these subsets;
 * a heavy set, and the light sets large enough to link with one, put their
@@ -14,8 +16,10 @@ copies cost one set.  Between the classes:
 * the boundary is the size at which the rows of both ways, counted from the
   histogram of sizes, are least.
 
-A list or subset with several sets ties them to its least set, which is linear
-however long it is.  The components of these ties are then compared set by set:
+Sets that meet in a list or subset of up to ``SHORT`` sets are paired, and pairs
+go whose sizes, or numbers of elements in each of 64 hash ranges, rule the
+similarity out.  A longer list ties all its sets to its least one, which is
+linear however long it is.  The components of these ties are then compared set by set:
 within a task over blocks of bounded size (each pair of blocks is a task), each
 set is expanded once over the sets not reached yet, so a group of thousands of
 near copies yields as many links as sets, not as pairs.  Verification is exact
@@ -37,12 +41,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import (as_bytes, documents, packed, scrambled, shingle_hashes, staged, table, unpacked,
-                                 word_hashes)
+from gridmart.llm.common import (as_bytes, documents, packed, scrambled, shingle_hashes, shingle_sequence, staged,
+                                 table, unpacked, word_hashes)
 from gridmart.llm.components import components
 
-#: Buckets of the document-frequency sketch (8 bytes each in a broadcast).
+#: Buckets of each of the two frequency sketches (4 MB in a broadcast).
 SKETCH = 1 << 18
+#: Most sets of a list that are paired; longer lists are tied to their least set.
+SHORT = 32
+#: Hash ranges in which the elements of a set are counted.
+RANGES = 64
 _SKETCH_CHUNK = 1 << 12
 #: Sets of a block in verification; a pair of blocks is one task's group.
 BLOCK = 128
@@ -67,49 +75,57 @@ def class_of(own: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def range_counts(own: np.ndarray) -> bytes:
+    """Elements of a set in each hash range (16 bits each)."""
+    ranges = ((own >> np.uint64(20)) % np.uint64(RANGES)).astype(np.int64)
+    return np.minimum(np.bincount(ranges, minlength=RANGES), 65535).astype(np.uint16).tobytes()
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(46)).astype(np.int64)
+
+
 def _profiles(size: int):
-    """Rows for each document (its set's size and class) and for the sketch."""
-    names = ["doc_id", "n_shingles", "class", "chunk", "counts"]
+    """Rows for each document (its set's size, class and range counts) and for the sketches."""
+    names = ["doc_id", "n_shingles", "class", "ranges", "chunk", "counts"]
 
     def run(batches):
-        sketch = np.zeros(SKETCH, dtype=np.int64)
+        sketch = np.zeros(2 * SKETCH, dtype=np.int64)  # of words, then of shingles
         for batch in batches:
-            sets = [own for _, own in shingle_sets(batch, size)]
-            for own in sets:
-                np.add.at(sketch, _bucket(own), 1)
+            words, bounds = word_hashes(as_bytes(batch["text"]))
+            sets = [shingle_hashes(words[a:b], size) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            sketch[:SKETCH] += np.bincount(_bucket(words), minlength=SKETCH)
+            sketch[SKETCH:] += np.bincount(_bucket(np.concatenate(sets)), minlength=SKETCH) if sets else 0
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([class_of(x) for x in sets], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                names=names)
-        parts = [(k, sketch[k * _SKETCH_CHUNK:(k + 1) * _SKETCH_CHUNK]) for k in range(SKETCH // _SKETCH_CHUNK)]
+                 pa.array([class_of(x) for x in sets], pa.int64()), pa.array([range_counts(x) for x in sets], pa.binary()),
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
+        parts = [(k, sketch[k * _SKETCH_CHUNK:(k + 1) * _SKETCH_CHUNK]) for k in range(2 * SKETCH // _SKETCH_CHUNK)]
         parts = [(k, packed(p)) for k, p in parts if p.any()]
         n = len(parts)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
              pa.array([k for k, _ in parts], pa.int32()), pa.array([p for _, p in parts], pa.binary())], names=names)
     return run
 
 
-def _bucket(own: np.ndarray) -> np.ndarray:
-    return (own >> np.uint64(46)).astype(np.int64)
-
-
 def _sum_counts(rows: pd.DataFrame) -> pd.DataFrame:
     total = sum(unpacked(x, np.int64) for x in rows["counts"])
     return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "counts": [packed(total)]})
 
 
-def frequency_sketch(profiles: DataFrame) -> np.ndarray:
-    """Occurrences by bucket of shingle hash, over all documents (2 MB)."""
-    out = np.zeros(SKETCH, dtype=np.int64)
+def rarity(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithm of the load of each word bucket, and which shingle buckets are heavily loaded."""
+    out = np.zeros(2 * SKETCH, dtype=np.int64)
     rows = profiles.where("chunk IS NOT NULL").select("chunk", "counts")
-    for r in rows.groupBy("chunk").applyInPandas(_sum_counts, "chunk int, counts binary").collect():
+    for r in rows.groupBy("chunk").applyInPandas(_sum_counts, "chunk int, counts binary").collect():  # 4 MB
         out[r["chunk"] * _SKETCH_CHUNK:(r["chunk"] + 1) * _SKETCH_CHUNK] = unpacked(r["counts"], np.int64)
-    return out
+    mean = out[SKETCH:].mean()
+    return np.log1p(out[:SKETCH]).astype(np.float32), out[SKETCH:] > mean + 8 * np.sqrt(mean)
 
 
-def cost_boundary(sizes: dict[int, int], percent: int, list_length: float) -> int:
+def cost_boundary(sizes: dict[int, int], percent: int) -> int:
     """The size from which sets are heavy: least rows enumerated and scanned in all.
 
     ``sizes`` counts sets by the least size of a class of sizes.
@@ -122,20 +138,31 @@ def cost_boundary(sizes: dict[int, int], percent: int, list_length: float) -> in
     for limit in [*order, (order[-1] + 1 if order else 1)]:
         cost = (sum(subsets[s] for s in order if s < limit)
                 + sum(scans[s] for s in order if s * 100 >= limit * percent)
-                + list_length * sum(scans[s] for s in order if s >= limit))
+                + sum(scans[s] for s in order if s >= limit))
         if best is None or cost < best:
             best, choice = cost, limit
     return max(choice, 1)
 
 
-def _keys(size: int, percent: int, boundary: int, sketch):
+def rare_first(words: np.ndarray, size: int, loads: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """The set of a text, in the common order of rarity (ties by hash)."""
+    every = shingle_sequence(words, size)
+    own, first = np.unique(every, return_index=True)
+    width = min(len(words), size)
+    load = loads[_bucket(words)]
+    # A shingle's words follow from it, so any of its places gives the same value.
+    frequent = sum((load[k:k + len(every)] for k in range(width)), np.zeros(len(every), np.float32))
+    return own[np.lexsort((own, frequent[first], heavy[_bucket(own)]))]
+
+
+def _keys(size: int, percent: int, boundary: int, sketches):
     """The keys of each document: subsets of light sets, list entries for heavy ones."""
-    def keys_of(own: np.ndarray, frequency: np.ndarray):
+    def keys_of(own: np.ndarray):
         n = len(own)
         if n == 0 or n * 100 < (n + 1) * percent:  # no other set can link
             return []
         misses = n - needed(n, percent)
-        first, mine = own[np.lexsort((own, frequency[_bucket(own)]))[:misses + 2]], []
+        first, mine = own[:misses + 2], []
         with np.errstate(over="ignore"):
             if n < boundary:
                 a, b = np.triu_indices(len(first), 1)
@@ -146,13 +173,27 @@ def _keys(size: int, percent: int, boundary: int, sketch):
         return np.concatenate(mine).view(np.int64)
 
     def run(batches):
-        frequency = sketch.value
+        loads, heavy = sketches.value
         for batch in batches:
-            sets = [own for _, own in shingle_sets(batch, size)]
+            words, bounds = word_hashes(as_bytes(batch["text"]))
+            sets = [rare_first(words[a:b], size, loads, heavy) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([class_of(x) for x in sets], pa.int64()),
-                 pa.array([keys_of(x, frequency) for x in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "class", "keys"])
+                [batch["doc_id"], pa.array([class_of(np.sort(x)) for x in sets], pa.int64()),
+                 pa.array([keys_of(x) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "class", "keys"])
+    return run
+
+
+def _possible(percent: int):
+    """Pairs whose overlap may suffice: it is at most the sum of the lesser range counts."""
+    def run(batches):
+        for batch in batches:
+            of = [np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, RANGES).astype(np.int64)
+                  for c in ("ranges_u", "ranges_v")]
+            sizes = batch["n_u"].to_numpy() + batch["n_v"].to_numpy()
+            full = (of[0].max(axis=1) == 65535) | (of[1].max(axis=1) == 65535)  # counts too large to tell
+            most = np.minimum(*of).sum(axis=1)
+            good = full | (most * 100 >= (sizes - most) * percent)
+            yield batch.select(["u", "v"]).filter(pa.array(good))
     return run
 
 
@@ -239,17 +280,28 @@ def _verify(percent: int):
 
 
 def candidate_ties(texts: DataFrame, classes: DataFrame, shingle: int, percent: int, boundary: int,
-                   sketch: np.ndarray) -> DataFrame:
-    """Edges (u, v) from each class to the least class of each subset or list it shares."""
-    chosen = classes.select(F.col("class").alias("node"), "rep")
+                   sketches: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Edges (u, v) between classes that share a subset or list; linked classes are connected by them."""
+    chosen = classes.select(F.col("class").alias("node"), "rep", "n_shingles")
     keyed = staged(
-        texts.mapInArrow(_keys(shingle, percent, boundary, texts.sparkSession.sparkContext.broadcast(sketch)),
+        texts.mapInArrow(_keys(shingle, percent, boundary, texts.sparkSession.sparkContext.broadcast(sketches)),
                          "doc_id long, class long, keys array<long>")
-        .join(chosen, (F.col("doc_id") == F.col("rep")) & (F.col("class") == F.col("node")), "left_semi")
-        .select("class", F.explode("keys").alias("key")), "keys")
-    hubs = keyed.groupBy("key").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub <> last")
-    return keyed.join(hubs.select("key", "hub"), "key").where("class <> hub").select(
-        F.col("class").alias("u"), F.col("hub").alias("v")).distinct()
+        .join(chosen, (F.col("doc_id") == F.col("rep")) & (F.col("class") == F.col("node")))
+        .select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key")), "keys")
+    lists = keyed.groupBy("key").agg(F.count("*").alias("length"), F.min("node").alias("hub"),
+                                     F.max("node").alias("last")).where("hub <> last")
+    shared = staged(keyed.join(lists.drop("last"), "key"), "lists")
+    long_lists = shared.where(F.col("length") > SHORT).where("node <> hub").select(
+        F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
+    short = shared.where(F.col("length") <= SHORT)
+    a, b = (short.select("key", F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "uv")
+    pairs = (a.join(b, "key").where("u < v")
+             .where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent)
+             .select("u", "v", "n_u", "n_v").distinct())
+    for x in "uv":
+        pairs = pairs.join(classes.select(F.col("class").alias(x), F.col("ranges").alias(f"ranges_{x}")), x)
+    return pairs.select("u", "v", "n_u", "n_v", "ranges_u", "ranges_v").mapInArrow(
+        _possible(percent), "u long, v long").unionByName(long_lists)
 
 
 def verified_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -274,16 +326,17 @@ def jaccard_groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id (least id reachable by links) of every row."""
     texts = documents(docs).where("doc_id IS NOT NULL")
     profiles = staged(texts.mapInArrow(
-        _profiles(shingle), "doc_id long, n_shingles long, class long, chunk int, counts binary"), "profiles")
-    rows = profiles.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "class")
+        _profiles(shingle), "doc_id long, n_shingles long, class long, ranges binary, chunk int, counts binary"), "profiles")
+    rows = profiles.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "class", "ranges")
     full = rows.where("n_shingles > 0")
-    classes = staged(full.groupBy("class", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = staged(full.groupBy("class", "n_shingles").agg(F.min("doc_id").alias("rep"),
+                                                        F.first("ranges").alias("ranges")), "classes")
     level = F.floor(F.log(F.col("n_shingles").cast("double")) / float(np.log(_CLASS)))
     sizes = {r["least"]: r["n"] for r in classes.groupBy(level.alias("level")).agg(
         F.min("n_shingles").alias("least"), F.count("*").alias("n")).collect()}  # some hundred size classes
-    sketch = frequency_sketch(profiles)
-    boundary = cost_boundary(sizes, percent, 1.0 + float(np.median(sketch)) / max(1.0, float(sketch.max())))
-    candidates = staged(components(candidate_ties(texts, classes, shingle, percent, boundary, sketch)), "candidates")
+    boundary = cost_boundary(sizes, percent)
+    ties = candidate_ties(texts, classes, shingle, percent, boundary, rarity(profiles))
+    candidates = staged(components(ties), "candidates")
     links = verified_links(texts, classes, candidates, shingle, percent)
     # Rows that repeat an id are one document: the classes of its texts are joined.
     repeated = full.groupBy("doc_id").agg(F.min("class").alias("v"), F.max("class").alias("u")).where("u <> v")
