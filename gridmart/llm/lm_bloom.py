@@ -37,6 +37,8 @@ from gridmart.llm.common import (as_bytes, documents, fold_of, packed, scrambled
 
 #: Most bytes of the broadcast filter, and bits for an event below that.
 FILTER_BYTES = 256 << 20
+#: Bytes of text that are worked on at once (about 40 times as much memory).
+BLOCK_BYTES = 8 << 20
 EVENT_BITS = 8.0
 #: Ratio of quantisation levels.
 RATIO = 1.5
@@ -142,7 +144,7 @@ class Filter:
 def _ngrams(shift: int):
     """Rows (bucket, keys, counts) of the n-grams of each block of training texts."""
     def run(batches):
-        for _, part in grouped(batches):
+        for _, part in grouped(batches, BLOCK_BYTES):
             with np.errstate(over="ignore"):
                 words, starts = marked(as_bytes(part["text"].combine_chunks()))
                 pairs = np.delete(pair_keys(words), starts[1:-1] - 1)  # none across texts
@@ -187,7 +189,7 @@ def build_filter(training: DataFrame) -> tuple[Filter, int, int]:
     made = (training.mapInArrow(_ngrams(64 - wide), "bucket int, keys binary, counts binary")
             .groupBy("bucket").applyInPandas(_segments(bits), "bucket int, words binary, n_words long"))
     segments, distinct = [np.zeros(1, dtype=np.uint64)] * (1 << wide), 0
-    for r in made.toLocalIterator():  # at most FILTER_BYTES in all
+    for r in staged(made, "filter").coalesce(4).toLocalIterator():  # at most FILTER_BYTES in all
         segments[r["bucket"]] = np.frombuffer(r["words"], dtype=np.uint64)
         distinct += r["n_words"]
     return Filter(segments, 64 - wide), tokens, distinct
@@ -213,7 +215,7 @@ def text_scores(words: np.ndarray, starts: np.ndarray, model: Filter, tokens: in
 def _encode(model, tokens: int, distinct: int, mass: float, buckets: int):
     """Blocks of all documents with their model scores; words count if in training."""
     def run(batches):
-        for number, part in grouped(batches):
+        for number, part in grouped(batches, BLOCK_BYTES):
             with np.errstate(over="ignore"):
                 texts = as_bytes(part["text"].combine_chunks())
                 words, starts = marked(texts)
