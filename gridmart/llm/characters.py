@@ -9,13 +9,13 @@ import numpy as np
 
 @lru_cache(maxsize=2)
 def plane(kind: str) -> np.ndarray:
-    """For each code point below 65,536 whether ``str.<kind>()`` holds (higher ones are taken as so)."""
-    return np.array([getattr(chr(c), kind)() for c in range(0x10000)])
+    """For each code point whether ``str.<kind>()`` holds."""
+    return np.array([getattr(chr(c), kind)() for c in range(0x110000)])
 
 
 def holds(kind: str, codes: np.ndarray) -> np.ndarray:
     """``str.<kind>()`` of each code point."""
-    return plane(kind)[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+    return plane(kind)[codes]
 
 
 def lowered(text: str) -> str:
@@ -42,6 +42,16 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     return value
 
 
+def byte_grams(codes: np.ndarray, q: int) -> np.ndarray:
+    """A hash of each run of ``q`` (8 at most) code points by their low bytes; equal runs have equal hashes."""
+    n = max(0, len(codes) - q + 1)
+    low = np.zeros(len(codes) + 8, dtype=np.uint8)
+    low[:len(codes)] = codes
+    runs = np.ndarray((n,), dtype="<u8", buffer=low, strides=(1,)) & np.uint64((1 << 8 * q) - 1)
+    with np.errstate(over="ignore"):
+        return runs * np.uint64(0x9E3779B97F4A7C15)
+
+
 def in_groups(texts: list[str], limit: int = 1 << 20):
     """(from, to) of runs of texts with about ``limit`` characters."""
     at = 0
