@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import staged, table
-from gridmart.llm.components import components
+from gridmart.llm.components import components, forest
 
 PROJECTIONS = 16
 RECALL = 0.9999
@@ -142,21 +142,6 @@ def links_in_cell(vectors: np.ndarray, cosine: float, anchor: int, x: int, y: in
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Edges among the given ones that connect as much, fewer than n."""
-    parent, out = list(range(n)), []
-    for a, b in zip(left.tolist(), right.tolist(), strict=True):
-        x, y = a, b
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        while parent[y] != y:
-            parent[y] = y = parent[parent[y]]
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return out
-
-
 def _links(cosine: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         first = rows.iloc[0]

@@ -7,6 +7,7 @@ shared scratch folder, so a lost executor costs one round.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +45,18 @@ def components(edges: DataFrame) -> DataFrame:
         before = mark
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def forest(n: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Edges among the given ones that connect as much, fewer than n."""
+    parent, out = list(range(n)), []
+    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+        x, y = a, b
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out

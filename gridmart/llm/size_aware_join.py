@@ -19,11 +19,13 @@ copies cost one set.  Between the classes:
 Sets that meet in a list or subset of up to ``SHORT`` sets are paired, and pairs
 go whose sizes, or numbers of elements in each of 64 hash ranges, rule the
 similarity out.  A longer list ties all its sets to its least one, which is
-linear however long it is.  The components of these ties are then compared set by set:
+linear however long it is.  The components of these ties are narrowed by the
+same range counts, all of a component's sets against each other, and what is
+still connected is compared set by set:
 within a task over blocks of bounded size (each pair of blocks is a task), each
 set is expanded once over the sets not reached yet, so a group of thousands of
 near copies yields as many links as sets, not as pairs.  Verification is exact
-up to 64-bit hashes of shingles and of whole sets.
+up to 64-bit hashes of whole sets and 48 bits of a shingle's hash.
 
 Cases: null, empty or blank text has an empty set and links with nothing;
 fewer words than the shingle size are one shingle; repeated ids are united by
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import (as_bytes, documents, packed, scrambled, shingle_hashes, shingle_sequence, staged,
                                  table, unpacked, word_hashes)
-from gridmart.llm.components import components
+from gridmart.llm.components import components, forest
 
 #: Buckets of each of the two frequency sketches (4 MB in a broadcast).
 SKETCH = 1 << 18
@@ -183,20 +185,42 @@ def _keys(size: int, percent: int, boundary: int, sketches):
     return run
 
 
+def may_link(n_u, n_v, ranges_u: np.ndarray, ranges_v: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and range counts leave a link open: an overlap is at most the sum of the lesser counts."""
+    most = np.minimum(ranges_u, ranges_v).sum(axis=-1)
+    unsure = (ranges_u.max(axis=-1) == 65535) | (ranges_v.max(axis=-1) == 65535)  # counts that were cut
+    return unsure | (most * 100 >= (n_u + n_v - most) * percent)
+
+
+def _ranges(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, RANGES).astype(np.int32)
+
+
 def _possible(percent: int):
-    """Pairs whose overlap may suffice: it is at most the sum of the lesser range counts."""
+    """Pairs that may link."""
     def run(batches):
         for batch in batches:
-            of = [np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, RANGES).astype(np.int64)
-                  for c in ("ranges_u", "ranges_v")]
-            sizes = batch["n_u"].to_numpy() + batch["n_v"].to_numpy()
-            full = (of[0].max(axis=1) == 65535) | (of[1].max(axis=1) == 65535)  # counts too large to tell
-            most = np.minimum(*of).sum(axis=1)
-            good = full | (most * 100 >= (sizes - most) * percent)
+            good = may_link(batch["n_u"].to_numpy(), batch["n_v"].to_numpy(), _ranges(batch["ranges_u"].to_pylist()),
+                            _ranges(batch["ranges_v"].to_pylist()), percent)
             yield batch.select(["u", "v"]).filter(pa.array(good))
     return run
 
 
+def _possible_forest(percent: int):
+    """Edges that connect all sets of a pair of blocks which may link."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        n, ranges, node = rows["n_shingles"].to_numpy(), _ranges(rows["ranges"]), rows["node"].to_numpy()
+        left, right = [], []
+        for k in range(len(rows) - 1):
+            j = np.flatnonzero(may_link(n[k], n[k + 1:], ranges[k], ranges[k + 1:], percent)) + k + 1
+            left.append(np.full(len(j), k))
+            right.append(j)
+        none = np.zeros(0, dtype=np.int64)
+        edges = forest(len(rows), np.concatenate([none, *left]), np.concatenate([none, *right]))
+        return pd.DataFrame([(node[a], node[b]) for a, b in edges], columns=["u", "v"], dtype="int64")
+    return run
+
+
 def _sets_of(size: int, members):
     """(class, set) of the rows that may be the one chosen for their class."""
     def run(batches):
@@ -209,7 +233,7 @@ def _sets_of(size: int, members):
                 sets = [own for _, own in shingle_sets(part, size)]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.array([class_of(x) for x in sets], pa.int64()),
-                     pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "class", "members"])
+                     pa.array([packed(np.diff(np.unique(x >> np.uint64(16)), prepend=np.uint64(0))) for x in sets], pa.binary())], names=["doc_id", "class", "members"])
     return run
 
 
@@ -274,7 +298,7 @@ def linked_forest(ids: list[int], sets: list[np.ndarray], percent: int) -> list[
 
 def _verify(percent: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        edges = linked_forest(rows["node"].tolist(), [np.frombuffer(x, np.uint64) for x in rows["members"]], percent)
+        edges = linked_forest(rows["node"].tolist(), [np.cumsum(unpacked(x, np.uint64)) for x in rows["members"]], percent)
         return pd.DataFrame(edges, columns=["u", "v"], dtype="int64")
     return run
 
@@ -304,20 +328,31 @@ def candidate_ties(texts: DataFrame, classes: DataFrame, shingle: int, percent:
         _possible(percent), "u long, v long").unionByName(long_lists)
 
 
-def verified_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Edges (u, v) of linked classes that join all that are linked within each candidate component."""
+def block_pairs(candidates: DataFrame) -> DataFrame:
+    """Each node with every pair of blocks (a, b) of its component that it is compared in."""
     sizes = candidates.groupBy(F.col("component").alias("of")).agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    nodes = candidates.join(classes.select(F.col("class").alias("node"), "rep"), "node").join(
-        sizes, F.col("component") == F.col("of")).drop("of")
-    members = texts.sparkSession.sparkContext.broadcast(member_bitmap(nodes.select(F.col("rep").alias("doc_id"))))
+    return (candidates.join(sizes, F.col("component") == F.col("of"))
+            .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .where("blocks = 1 OR other <> mine")
+            .select("node", "component", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b")))
+
+
+def narrowed(classes: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
+    """The candidate components by what their sizes and range counts leave open."""
+    of = classes.select(F.col("class").alias("node"), "n_shingles", "ranges")
+    return components(block_pairs(candidates).join(of, "node").groupBy("component", "a", "b").applyInPandas(
+        _possible_forest(percent), "u long, v long"))
+
+
+def verified_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Edges (u, v) of linked classes that join all that are linked within each candidate component."""
+    chosen = candidates.select("node").join(classes.select(F.col("class").alias("node"), "rep"), "node")
+    members = texts.sparkSession.sparkContext.broadcast(member_bitmap(chosen.select(F.col("rep").alias("doc_id"))))
     sets = texts.mapInArrow(_sets_of(shingle, members), "doc_id long, class long, members binary")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    cells = (nodes.withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .where("blocks = 1 OR other <> mine")
-             .select("node", "rep", "component", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b")))
-    filled = cells.join(sets, (F.col("rep") == F.col("doc_id")) & (F.col("node") == F.col("class")))
+    filled = (block_pairs(candidates).join(chosen, "node")
+              .join(sets, (F.col("rep") == F.col("doc_id")) & (F.col("node") == F.col("class"))))
     return filled.select("component", "a", "b", "node", "members").groupBy("component", "a", "b").applyInPandas(
         _verify(percent), "u long, v long")
 
@@ -336,7 +371,8 @@ def jaccard_groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.min("n_shingles").alias("least"), F.count("*").alias("n")).collect()}  # some hundred size classes
     boundary = cost_boundary(sizes, percent)
     ties = candidate_ties(texts, classes, shingle, percent, boundary, rarity(profiles))
-    candidates = staged(components(ties), "candidates")
+    tied = staged(components(ties), "candidates")
+    candidates = staged(narrowed(classes, tied, percent), "candidates")
     links = verified_links(texts, classes, candidates, shingle, percent)
     # Rows that repeat an id are one document: the classes of its texts are joined.
     repeated = full.groupBy("doc_id").agg(F.min("class").alias("v"), F.max("class").alias("u")).where("u <> v")
