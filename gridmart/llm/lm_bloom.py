@@ -38,7 +38,7 @@ from gridmart.llm.common import (as_bytes, documents, fold_of, packed, scrambled
 #: Most bytes of the broadcast filter, and bits for an event below that.
 FILTER_BYTES = 256 << 20
 #: Bytes of text that are worked on at once (about 40 times as much memory).
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 EVENT_BITS = 8.0
 #: Ratio of quantisation levels.
 RATIO = 1.5
