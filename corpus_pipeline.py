@@ -1,4 +1,8 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
+
+Every stage works on all rows that its predecessor kept; all but the last
+return the columns they were given.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +10,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.llm.bin_slack import pack_1024
 from gridmart.llm.common import staged, table
+from gridmart.llm.mixture_langid import keep_identified
+from gridmart.llm.pii_bootstrap import redacted
+from gridmart.llm.qgram_decon import uncontaminated
+from gridmart.llm.size_aware_join import one_of_each_group
+
+#: A document stays if its main language has at least this share of its text.
+LEAST_SHARE = 0.4
+#: Near duplicates: words of a shingle and Jaccard similarity in percent.
+SHINGLE, PERCENT = 5, 80
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a main language, go."""
+    return keep_identified(docs, LEAST_SHARE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return one_of_each_group(docs, SHINGLE, PERCENT)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind."""
+    return redacted(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut and place every document that was kept (minimum bin slack)."""
+    """Every document that was kept is cut and placed in windows of 1024 tokens."""
     return pack_1024(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("language ID", language_id), ("n-gram Jaccard join", near_duplicates),
+          ("benchmark decontamination", decontamination), ("PII", private_data), ("packing", packing)]
 
-#: SQL expresses neither the learned stages nor the packing.
+#: SQL expresses neither the learned language model nor the token ids of the packing.
 ORACLE_SQL = None
 
 

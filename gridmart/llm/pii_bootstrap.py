@@ -113,15 +113,15 @@ def matches(text: Column, searched: Column, pattern: str, kind: int, valid) -> C
     return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(SPAN))
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """Each document (with a row number) with its base spans and candidate spans."""
+def scanned(docs: DataFrame, *kept: str) -> DataFrame:
+    """Each document (with a row number) with its base spans and candidate spans, and the columns kept."""
     text = F.col("text")
     columns = []
     for number, kind in enumerate(KINDS):
         searched, pattern = {"email": _email, "ip": _ip, "card": _card, "phone": _phone}[kind](text)
         columns.append(matches(text, searched, pattern, number, lambda m, kind=kind: _valid(kind, m)).alias(kind))
     candidates = matches(text, text, TOKEN, -1, lambda m: F.lit(True))
-    out = docs.select(F.monotonically_increasing_id().alias("row"), *[c for c in docs.columns if c != "text"],
+    out = docs.select(F.monotonically_increasing_id().alias("row"), *kept,
                       F.concat(*columns).alias("base"), candidates.alias("tokens"))
     apart = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
     return out.withColumn("tokens", F.filter(apart, lambda t: t["context"].isNotNull()))
@@ -151,6 +151,14 @@ def _ordered(spans: Column) -> Column:
         s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))))
 
 
+_SHORT = "array<struct<kind:int,start:int,stop:int>>"
+
+
+def _all_spans() -> Column:
+    """Base and added spans of a scanned document."""
+    return _ordered(F.concat(_ordered(F.col("base")), F.coalesce("added", F.array().cast(_SHORT))))
+
+
 def _written(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
@@ -162,9 +170,9 @@ def _of_kind(spans: str, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind))
 
 
-def entity_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def entity_spans(docs: DataFrame, *kept: str) -> tuple[DataFrame, DataFrame]:
     """The scan of all documents, and (row, added): the spans that the bootstrapping adds."""
-    scan = staged(scanned(docs), "scan")
+    scan = staged(scanned(docs, *kept), "scan")
     places = trusted_places(scan)
     added = (scan.select("row", F.explode("tokens").alias("t")).select("row", "t.start", "t.stop", "t.context", "t.entity")
              .join(places, ["context", "entity"])
@@ -174,15 +182,45 @@ def entity_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, base counts by kind, digest of the base spans, and all spans."""
-    scan, added = entity_spans(documents(docs))
-    none = F.array().cast("array<struct<kind:int,start:int,stop:int>>")
-    base, every = _ordered(F.col("base")), _ordered(F.concat(
-        F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))),
-        F.coalesce("added", none)))
+    scan, added = entity_spans(documents(docs), "doc_id")
+    base, every = _ordered(F.col("base")), _all_spans()
     counts = [_of_kind("base", k).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return scan.drop("tokens").join(added, "row", "left").select(
         "doc_id", *counts, F.sha2(_written(base), 256).alias("base_sha256"), _written(every).alias("spans"),
-        F.size(F.coalesce("added", none)).cast("long").alias("n_added"))
+        F.size(F.coalesce("added", F.array().cast(_SHORT))).cast("long").alias("n_added"))
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with every span of the text replaced by its kind in brackets.
+
+    Spans that overlap become one bracket, of the kind that begins first.  A
+    column ``n_chars`` is set to the new length; all other columns, whatever
+    their names, are as before.
+    """
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    scan, added = entity_spans(docs.select(F.struct("*").alias("doc"), F.coalesce(
+        F.col("text").cast("string"), F.lit("")).alias("text")), "doc", "text")
+    text = F.col("text")
+    by_start = F.array_sort(F.transform(_all_spans(), lambda s: F.struct(
+        s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"))))
+
+    def put(state: Column, span: Column) -> Column:
+        piece = F.concat(F.substring(text, state["at"] + 1, span["start"] - state["at"]),
+                         F.element_at(names, span["kind"] + 1))
+        return F.struct(F.greatest(state["at"], span["stop"]).alias("at"), F.when(
+            span["start"] >= state["at"], F.concat(state["parts"], F.array(piece))).otherwise(state["parts"]).alias("parts"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    new = F.aggregate(by_start, start, put, lambda s: F.concat(
+        F.concat_ws("", s["parts"]), F.substring(text, s["at"] + 1, F.length(text))))
+    changed = scan.join(added, "row", "left").withColumn("new", F.when(
+        (F.size("base") > 0) | F.col("added").isNotNull(), new))
+    doc = F.col("doc").withField("text", F.coalesce("new", F.col("doc.text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        doc = doc.withField("n_chars", F.when(F.col("new").isNull(), F.col("doc.n_chars")).otherwise(
+            F.length("new").cast(kind)))
+    return changed.select(doc.alias("doc")).select("doc.*")
 
 
 def op2_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -386,6 +386,24 @@ def jaccard_groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def one_of_each_group(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose id names their group; one row of each id.
+
+    Of rows that repeat such an id the one with the least text stays.  Rows
+    without an id are in no group and stay.
+    """
+    groups = staged(jaccard_groups(docs, shingle, percent), "groups")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    repeated = groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    if repeated.isEmpty():
+        return kept
+    again = F.col("doc_id").cast("long") == F.col("_again")
+    single = (kept.join(repeated, again, "left_semi").select(F.struct("*").alias("doc"))
+              .groupBy("doc.doc_id").agg(F.min_by("doc", F.coalesce("doc.text", F.lit(""))).alias("doc")).select("doc.*"))
+    return kept.join(repeated, again, "left_anti").unionByName(single)
+
+
 def op10_size_aware_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by 3-word shingles, linked at Jaccard 0.9."""
     return jaccard_groups(table(spark, sf_dir, "documents"), 3, 90)
