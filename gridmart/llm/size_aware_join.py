@@ -18,8 +18,9 @@ copies cost one set.  Between the classes:
 
 Sets that meet in a list or subset of up to ``SHORT`` sets are paired, and pairs
 go whose sizes, or numbers of elements in each of 64 hash ranges, rule the
-similarity out.  A longer list ties all its sets to its least one, which is
-linear however long it is.  The components of these ties are narrowed by the
+similarity out.  Sets of a longer list, up to ``LONG``, are compared in the same
+way within a task, which gives as many ties as sets.  A list beyond that ties
+all its sets to its least one, which is linear however long it is.  The components of these ties are narrowed by the
 same range counts, all of a component's sets against each other, and what is
 still connected is compared set by set:
 within a task over blocks of bounded size (each pair of blocks is a task), each
@@ -49,8 +50,9 @@ from gridmart.llm.components import components, forest
 
 #: Buckets of each of the two frequency sketches (4 MB in a broadcast).
 SKETCH = 1 << 18
-#: Most sets of a list that are paired; longer lists are tied to their least set.
-SHORT = 32
+#: Most sets of a list that are paired, and of one that is compared by range counts in blocks;
+#: longer lists are tied to their least set.
+SHORT, LONG = 32, 4096
 #: Hash ranges in which the elements of a set are counted.
 RANGES = 64
 _SKETCH_CHUNK = 1 << 12
@@ -315,8 +317,10 @@ def candidate_ties(texts: DataFrame, classes: DataFrame, shingle: int, percent:
     lists = keyed.groupBy("key").agg(F.count("*").alias("length"), F.min("node").alias("hub"),
                                      F.max("node").alias("last")).where("hub <> last")
     shared = staged(keyed.join(lists.drop("last"), "key"), "lists")
-    long_lists = shared.where(F.col("length") > SHORT).where("node <> hub").select(
+    endless = shared.where(F.col("length") > LONG).where("node <> hub").select(
         F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
+    middle = possible_edges(classes, shared.where(F.col("length").between(SHORT + 1, LONG)).select(
+        "node", F.col("key").alias("component")), percent)
     short = shared.where(F.col("length") <= SHORT)
     a, b = (short.select("key", F.col("node").alias(x), F.col("n").alias(f"n_{x}")) for x in "uv")
     pairs = (a.join(b, "key").where("u < v")
@@ -325,7 +329,7 @@ def candidate_ties(texts: DataFrame, classes: DataFrame, shingle: int, percent:
     for x in "uv":
         pairs = pairs.join(classes.select(F.col("class").alias(x), F.col("ranges").alias(f"ranges_{x}")), x)
     return pairs.select("u", "v", "n_u", "n_v", "ranges_u", "ranges_v").mapInArrow(
-        _possible(percent), "u long, v long").unionByName(long_lists)
+        _possible(percent), "u long, v long").unionByName(middle).unionByName(endless)
 
 
 def block_pairs(candidates: DataFrame) -> DataFrame:
@@ -339,11 +343,11 @@ def block_pairs(candidates: DataFrame) -> DataFrame:
             .select("node", "component", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b")))
 
 
-def narrowed(classes: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
-    """The candidate components by what their sizes and range counts leave open."""
+def possible_edges(classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Edges (u, v) that connect the nodes of each group (node, component) which may link."""
     of = classes.select(F.col("class").alias("node"), "n_shingles", "ranges")
-    return components(block_pairs(candidates).join(of, "node").groupBy("component", "a", "b").applyInPandas(
-        _possible_forest(percent), "u long, v long"))
+    return block_pairs(groups).join(of, "node").groupBy("component", "a", "b").applyInPandas(
+        _possible_forest(percent), "u long, v long")
 
 
 def verified_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -372,7 +376,7 @@ def jaccard_groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     boundary = cost_boundary(sizes, percent)
     ties = candidate_ties(texts, classes, shingle, percent, boundary, rarity(profiles))
     tied = staged(components(ties), "candidates")
-    candidates = staged(narrowed(classes, tied, percent), "candidates")
+    candidates = staged(components(possible_edges(classes, tied, percent)), "candidates")
     links = verified_links(texts, classes, candidates, shingle, percent)
     # Rows that repeat an id are one document: the classes of its texts are joined.
     repeated = full.groupBy("doc_id").agg(F.min("class").alias("v"), F.max("class").alias("u")).where("u <> v")
