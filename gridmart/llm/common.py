@@ -86,6 +86,13 @@ def numbered(df: DataFrame, group: str, row: str, out: str, chunk: int = 4096) -
             .drop("_run", "_nth", "_group", "_at", "_shift"))
 
 
+def slices(batches, rows: int = 500):
+    """Arrow batches cut into short ones, which bounds what is worked on at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column (nulls as empty)."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.characters import code_points, gram_hashes, holds, in_groups
-from gridmart.llm.common import documents, fold_of, packed, table, unpacked
+from gridmart.llm.common import documents, fold_of, packed, slices, table, unpacked
 
 BUCKETS = 1 << 15
 LANGUAGES = 256
@@ -61,7 +61,7 @@ def _counts(labels: list[str]):
 
     def run(batches):
         total = np.zeros((len(labels), BUCKETS), dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for lang, buckets in zip(batch["lang"].to_pylist(), trigram_buckets(batch["text"].to_pylist()), strict=True):
                 total[known[lang]] += np.bincount(buckets, minlength=BUCKETS)
         rows = [(lang, c, packed(total[k, c * _CHUNK:(c + 1) * _CHUNK]))
@@ -142,7 +142,7 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(learn(training_texts(docs, folds, held)))
 
     def predict(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [model.value.predict(x) for x in trigram_buckets(batch["text"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array([f[0] for f in found], pa.string()),
@@ -156,7 +156,7 @@ def keep_identified(docs: DataFrame, least_share: float) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(learn(training_texts(docs, 3, 1)))
 
     def keep(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [model.value.predict(x) for x in trigram_buckets([t or "" for t in batch["text"].to_pylist()])]
             yield batch.filter(pa.array([lang != UNKNOWN and share >= least_share for lang, share in found], pa.bool_()))
 

@@ -44,8 +44,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import (as_bytes, documents, packed, scrambled, shingle_hashes, shingle_sequence, staged,
-                                 table, unpacked, word_hashes)
+from gridmart.llm.common import (as_bytes, documents, packed, scrambled, shingle_hashes, shingle_sequence, slices,
+                                 staged, table, unpacked, word_hashes)
 from gridmart.llm.components import components, forest
 
 #: Buckets of each of the two frequency sketches (4 MB in a broadcast).
@@ -95,7 +95,7 @@ def _profiles(size: int):
 
     def run(batches):
         sketch = np.zeros(2 * SKETCH, dtype=np.int64)  # of words, then of shingles
-        for batch in batches:
+        for batch in slices(batches):
             words, bounds = word_hashes(as_bytes(batch["text"]))
             sets = [shingle_hashes(words[a:b], size) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             sketch[:SKETCH] += np.bincount(_bucket(words), minlength=SKETCH)
@@ -178,7 +178,7 @@ def _keys(size: int, percent: int, boundary: int, sketches):
 
     def run(batches):
         loads, heavy = sketches.value
-        for batch in batches:
+        for batch in slices(batches):
             words, bounds = word_hashes(as_bytes(batch["text"]))
             sets = [rare_first(words[a:b], size, loads, heavy) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(

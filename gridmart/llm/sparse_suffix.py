@@ -31,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import (as_bytes, documents, packed, scrambled, shingle_sequence, staged, table, tasks,
-                                 unpacked, word_hashes)
+from gridmart.llm.common import (as_bytes, documents, packed, scrambled, slices, staged, table, tasks, unpacked,
+                                 word_hashes)
 
 #: Least length of a repeated passage, and length of the gram a suffix begins with, in words.
 WORDS = 50
@@ -46,6 +46,16 @@ NEAR = 4
 SPANS = "doc_id long, start long, stop long"
 
 
+def gram_sequence(words: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``GRAM`` (a power of two) words, by doubling."""
+    value, width = words, 1
+    with np.errstate(over="ignore"):
+        while width < GRAM:
+            value = scrambled(value[:-width] * np.uint64(0xD6E8FEB86659FD93) + value[width:])
+            width *= 2
+    return value
+
+
 def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     """Positions of the least hash (the first of equals) of each run of ``window`` grams."""
     if len(grams) < window:
@@ -67,7 +77,7 @@ def kept_suffixes(batch: pa.RecordBatch):
     words, bounds = word_hashes(as_bytes(batch["text"]))
     for k in np.flatnonzero(np.diff(bounds) >= WORDS):
         own = words[bounds[k]:bounds[k + 1]]
-        grams = shingle_sequence(own, GRAM)
+        grams = gram_sequence(own)
         places = minimisers(grams, WORDS - GRAM + 1)
         yield int(k), own, places, grams[places]
 
@@ -77,7 +87,7 @@ def _slots(grams: np.ndarray) -> np.ndarray:
 
 
 def _grams(batches):
-    for batch in batches:
+    for batch in slices(batches):
         ids = batch["doc_id"].to_pylist()
         found = [(ids[k], grams) for k, _, _, grams in kept_suffixes(batch)]
         if found:
@@ -126,7 +136,7 @@ def _context(words: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
 
 def _contexts(bitmap):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, out = batch["doc_id"].to_pylist(), []
             for k, words, places, grams in kept_suffixes(batch):
                 hit = bitmap.value[_slots(grams)]
@@ -153,8 +163,8 @@ def _matched(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
 
 
-def neighbour_matches(rows: pa.Table) -> list[tuple[int, int, int]]:
-    """Spans (doc_id, start, stop) where sorted neighbours of different documents match long enough."""
+def neighbour_matches(rows: pa.Table) -> np.ndarray:
+    """Rows doc_id, start, stop where sorted neighbours of different documents match long enough."""
     n = rows.num_rows
     gram, doc, place = (rows[c].to_numpy() for c in ("gram", "doc_id", "place"))
     after = np.frombuffer(b"".join(rows["after"].to_pylist()), dtype=">u4").reshape(n, WORDS)
@@ -174,8 +184,8 @@ def neighbour_matches(rows: pa.Table) -> list[tuple[int, int, int]]:
     right, left = _matched(after[i], after[j]), _matched(before[i], before[j])
     good = right + left >= WORDS
     i, j, right, left = i[good], j[good], right[good], left[good]
-    return list({(d, s, e) for x in (i, j) for d, s, e in zip(
-        doc[x].tolist(), (place[x] - left).tolist(), (place[x] + right).tolist(), strict=True)})
+    both = [np.stack([doc[x], place[x] - left, place[x] + right], axis=1) for x in (i, j)]
+    return np.unique(np.concatenate(both), axis=0)
 
 
 def _neighbours(batches):
@@ -184,12 +194,12 @@ def _neighbours(batches):
 
     def spans(rows: pa.Table) -> pa.RecordBatch:
         found = neighbour_matches(rows)
-        return _out([(d, s, e, None, None, None, None) for d, s, e in found])
+        n, kinds = len(found), [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([*(pa.array(found[:, k]) for k in range(3)), *(pa.nulls(n, k) for k in kinds)],
+                                          names=[c.split()[0] for c in _OUT.split(", ")])
 
     first_done = False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in slices(batches, 2000):
         rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
         yield spans(rows)
         doc = rows["doc_id"].to_numpy()
@@ -262,7 +272,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start and stop (in words) of passages that occur in another document too."""
     texts = documents(docs).where("doc_id IS NOT NULL").select("doc_id", "text")
     bitmap = docs.sparkSession.sparkContext.broadcast(repeated_grams(texts))
-    suffixes = texts.mapInArrow(_contexts(bitmap), SUFFIX)
+    suffixes = staged(texts.mapInArrow(_contexts(bitmap), SUFFIX), "suffixes")
     return merged(spans_in_order(suffixes, "after").unionByName(spans_in_order(suffixes, "before")))
 
 
