@@ -18,9 +18,10 @@ from .text import strip_text
 UTC_TEXT_SHAPE = (
     r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|[+-]\d{2}:?\d{2})?$"
 )
-# Offset suffix of a text that already has the shape above.
-_OFFSET_SUFFIX = r"(Z|[+-]\d{2}:?\d{2})$"
-_ZERO_OFFSETS = ["", "Z", "+00:00", "-00:00", "+0000", "-0000"]
+# The same shape with no offset or a zero one: what is accepted.
+ACCEPTED = (
+    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|[+-]00:?00)?$"
+)
 
 API_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 NOW_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -49,26 +50,23 @@ def _naive_instant(text: Column) -> Column:
     return full.try_cast("timestamp")
 
 
-def utc_reject_reason(c, required: bool = True) -> Column:
-    """NULL for an acceptable value, else 'missing' / 'malformed' / 'non-UTC offset'."""
+def utc_value(c) -> Column:
+    """The UTC instant of an acceptable value; NULL for blank or rejected text."""
     text = strip_text(_col(c))
-    blank = text.isNull() | (text == "")
-    offset = F.regexp_extract(text, _OFFSET_SUFFIX, 1)
-    reason = (
-        F.when(blank, F.lit(MISSING) if required else F.lit(None).cast("string"))
-        .when(~text.rlike(UTC_TEXT_SHAPE), F.lit(MALFORMED))
-        .when(_naive_instant(text).isNull(), F.lit(MALFORMED))
-        .when(~offset.isin(_ZERO_OFFSETS), F.lit(NON_UTC))
-    )
-    return reason
+    return F.when(text.rlike(ACCEPTED), _naive_instant(text))
 
 
-def utc_value(c) -> Column:
-    """The UTC instant of an acceptable value; NULL for blank or rejected text."""
+def utc_reject_reason(c, required: bool = True) -> Column:
+    """NULL for an acceptable value, else 'missing' / 'malformed' / 'non-UTC offset'.
+
+    Only a value without an instant is looked at further, so good rows cost
+    one match and one cast.
+    """
     text = strip_text(_col(c))
-    offset = F.regexp_extract(text, _OFFSET_SUFFIX, 1)
-    ok = text.rlike(UTC_TEXT_SHAPE) & offset.isin(_ZERO_OFFSETS)
-    return F.when(ok, _naive_instant(text))
+    shaped = text.rlike(UTC_TEXT_SHAPE) & _naive_instant(text).isNotNull()
+    return (F.when(utc_value(c).isNotNull(), F.lit(None).cast("string"))
+            .when(text.isNull() | (text == ""), F.lit(MISSING if required else None).cast("string"))
+            .when(shaped, F.lit(NON_UTC)).otherwise(F.lit(MALFORMED)))
 
 
 def parse_utc(c, field: str = "value", source: str = "gridmart",
@@ -80,13 +78,16 @@ def parse_utc(c, field: str = "value", source: str = "gridmart",
     :func:`gridmart.operators.quality.split_rejects`.
     """
     c = _col(c)
-    value = utc_value(c)
+    value, text = utc_value(c), strip_text(c)
     if on_error == "null":
         return value
-    reason = utc_reject_reason(c, required)
-    message = F.concat(F.lit(f"{source}: invalid UTC timestamp in {field}: "),
-                       F.coalesce(c, F.lit("NULL")), F.lit(" ("), reason, F.lit(")"))
-    return F.when(reason.isNotNull(), F.raise_error(message)).otherwise(value)
+    why = utc_reject_reason(c, required)
+    message = F.concat(F.lit(f"{source} column {field} holds no UTC instant, {{"), why,
+                       F.lit("}: "), F.coalesce(c, F.lit("NULL")))
+    out = F.when(value.isNotNull(), value)
+    if not required:
+        out = out.when(text.isNull() | (text == ""), F.lit(None).cast("timestamp"))
+    return out.otherwise(F.raise_error(message))
 
 
 def format_utc(c) -> Column:
@@ -109,46 +110,15 @@ def to_date_strict(c) -> Column:
             .otherwise(F.raise_error(message)))
 
 
-def utc_parts(c, required: bool = True) -> Column:
-    """struct<reason string, value timestamp> of a text instant, in one pass.
-
-    Spark SQL has no LET; a one-element ``transform`` binds the stripped text
-    (and then its shape, offset and instant) to a lambda variable, so each
-    step is evaluated once per row even where Catalyst inlines the whole
-    expression (e.g. into a pushed-down filter on the reason).
-    """
-    def facts(t):
-        return F.struct(t.alias("t"), t.rlike(UTC_TEXT_SHAPE).alias("ok"),
-                        F.regexp_extract(t, _OFFSET_SUFFIX, 1).alias("off"),
-                        _naive_instant(t).alias("naive"))
-
-    def judge(p):
-        blank = p["t"].isNull() | (p["t"] == "")
-        reason = (F.when(blank, F.lit(MISSING) if required else F.lit(None).cast("string"))
-                  .when(~p["ok"], F.lit(MALFORMED))
-                  .when(p["naive"].isNull(), F.lit(MALFORMED))
-                  .when(~p["off"].isin(_ZERO_OFFSETS), F.lit(NON_UTC)))
-        return F.struct(reason.alias("reason"), p["naive"].alias("naive"))
-
-    return F.transform(F.transform(F.array(strip_text(_col(c))), facts), judge)[0]
-
-
 def with_utc(df, col: str, required: bool = True, on_error: str = "fail",
              field: str | None = None, source: str = "gridmart",
              reason_col: str | None = None):
-    """Parse one text column of a DataFrame in place (see :func:`utc_parts`).
+    """Parse one text column of a DataFrame in place (see :func:`parse_utc`).
 
     ``on_error``: "fail" aborts the job on a rejected value, "null" leaves
     NULL.  ``reason_col`` also keeps the reject reason.
     """
-    p = f"__{col}_utc"
-    out = df.withColumn(p, utc_parts(col, required))
-    why, naive = F.col(p)["reason"], F.col(p)["naive"]
-    value = F.when(why.isNull(), naive)
-    if on_error == "fail":
-        message = F.concat(F.lit(f"{source}: invalid UTC timestamp in {field or col}: "),
-                           F.coalesce(F.col(col), F.lit("NULL")), F.lit(" ("), why, F.lit(")"))
-        value = F.when(why.isNotNull(), F.raise_error(message)).otherwise(naive)
+    new = {col: parse_utc(col, field or col, source, required, on_error)}
     if reason_col:
-        out = out.withColumn(reason_col, why)
-    return out.withColumn(col, value).drop(p)
+        new[reason_col] = utc_reject_reason(col, required)
+    return df.withColumns(new)

@@ -23,9 +23,15 @@ EXPECTED_FILES = {
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a log file set with a global, order-preserving line id."""
+    """Lines of a log file set with an order: by file name, then as written.
+
+    A file's splits are read by tasks in the order of their offsets, so an id
+    that grows within the job orders the lines of one file.
+    """
     return (spark.read.text(path)
-            .withColumn("line_id", F.monotonically_increasing_id()))
+            .withColumn("line_id", F.struct(F.col("_metadata.file_path").alias("file"),
+                                            F.col("_metadata.file_block_start").alias("block"),
+                                            F.monotonically_increasing_id().alias("line"))))
 
 
 def parse_events(lines: DataFrame, text_col: str = "value") -> DataFrame:
@@ -80,30 +86,40 @@ def run_start(lines: DataFrame, text_col: str = "value", order_col: str = "line_
             .agg(F.min_by(stamp, F.col(order_col)).alias("t0")))
 
 
-def eta(total_expected: int, total_started: int, t0: _dt.datetime | None,
-        now: _dt.datetime) -> tuple[float, float] | None:
-    """Rate (files per minute, minutes >= 0.1) and minutes left (rate >= 0.01)."""
-    if t0 is None or not total_started:
-        return None
-    mins = (now - t0).total_seconds() / 60
-    rate = total_started / max(mins, 0.1)
-    left = max(total_expected - total_started, 0)
-    return rate, left / max(rate, 0.01)
-
-
-def summary(progress: DataFrame, t0: _dt.datetime | None, now: _dt.datetime,
-            expected_total: int | None = None) -> list[str]:
-    """Status lines from the per-resource progress (a handful of rows)."""
-    rows = progress.orderBy("resource").collect()
-    total_exp = expected_total if expected_total is not None else sum(
-        r["expected"] for r in rows)
-    started = sum(r["started"] for r in rows)
-    done = sum(r["done"] for r in rows)
-    lines = [f"START: {t0} | files: started={started}/{total_exp}, done={done}/{total_exp}"]
-    for r in rows:
-        lines.append(f"  {r['resource']}: started={r['started']}/{r['expected']} "
-                     f"done={r['done']}/{r['expected']} rows={r['rows']}")
-    rate = eta(total_exp, started, t0, now)
-    if rate is not None:
-        lines.append(f"  rate ~{rate[0]:.1f} files/min -> ETA ~{rate[1]:.0f} min")
-    return lines
+def load_totals(events: DataFrame, expected: DataFrame, start: DataFrame, now: _dt.datetime,
+                order_col: str = "line_id") -> DataFrame:
+    """One row over all resources, those expected 0 or not expected included.
+
+    expected, started, done, rows, the overall last file, files per minute
+    since the run's start and minutes left at that pace (both NULL before the
+    first file or without a start line).  A run counts as a tenth of a minute
+    old at least, and as loading a hundredth of a file per minute at least.
+    """
+    is_start = F.col("kind") == "started"
+    seen = events.agg(
+        F.count_if(is_start).alias("started"), F.count_if(F.col("kind") == "done").alias("done"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "done", F.col("rows"))), F.lit(0)).cast("long").alias("rows"),
+        F.max_by(F.when(is_start, F.col("file")), F.when(is_start, F.col(order_col))).alias("last_file"))
+    goal = expected.agg(F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"))
+    age = F.unix_timestamp(F.lit(now.strftime("%Y-%m-%d %H:%M:%S"))) - F.unix_timestamp("t0")
+    pace = F.when(F.col("started") > 0, F.col("started") / F.greatest(age / 60, F.lit(0.1)))
+    # Three one-row relations side by side.
+    one = [d.withColumn("one", F.lit(1)) for d in (seen, goal, start)]
+    return (one[0].join(one[1], "one").join(one[2], "one").drop("one")
+            .withColumn("files_per_minute", pace)
+            .withColumn("minutes_left", F.greatest(F.col("expected") - F.col("started"), F.lit(0))
+                        / F.greatest("files_per_minute", F.lit(0.01)))
+            .withColumn("minutes_left", F.when(F.col("files_per_minute").isNotNull(), F.col("minutes_left")))
+            .select("expected", "started", "done", "rows", "last_file", "files_per_minute", "minutes_left"))
+
+
+def status_lines(progress: DataFrame, totals: DataFrame) -> list[str]:
+    """The progress of each resource and the totals as text (a handful of rows)."""
+    t = totals.first()
+    text = [f"{r['resource']}: {r['started']} of {r['expected']} files begun, {r['done']} finished, "
+            f"{r['rows']} rows, last {r['last_file']}" for r in progress.orderBy("resource").collect()]
+    text.append(f"all: {t['started']} of {t['expected']} files begun, {t['done']} finished, {t['rows']} rows, "
+                f"last {t['last_file']}")
+    if t["files_per_minute"] is not None:
+        text.append(f"pace {t['files_per_minute']:.1f} files a minute, {t['minutes_left']:.0f} minutes to go")
+    return text

@@ -1,4 +1,4 @@
-"""Fact-to-dimension joins (J1/J2) with a checked broadcast."""
+"""Fact-to-dimension joins."""
 
 from __future__ import annotations
 
@@ -7,40 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to hold at most this many
-# rows; beyond it the join falls back to a shuffle join (AQE may still turn
-# it into a broadcast at runtime from measured sizes).
-MAX_BROADCAST_ROWS = 100_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows + 1`` rows.
-
-    The candidate is persisted first (memory and disk, recomputable from its
-    lineage if an executor is lost), so a derived side -- a DISTINCT over a
-    deduplicated fact, a header table found by scanning every file -- is
-    computed once: the size check fills the cache and the broadcast build
-    reads it.  A side over the bound is unpersisted and joined by shuffle.
-    """
-    df = df.persist()
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    df.unpersist()
-    return df
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
-             how: str = "left", max_dim_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Join a fact to a dimension; left by default so no fact row is lost.
 
     Dimension columns that clash with fact columns (other than the key) are
-    dropped from the dimension side.
+    dropped from the dimension side.  No job runs here and nothing is kept:
+    Spark broadcasts the dimension where its size in bytes, from statistics
+    or as measured at run time, is below the session's threshold.
     """
     keys = [on] if isinstance(on, str) else list(on)
     extra = [c for c in dim.columns if c not in keys and c not in fact.columns]
-    dim = dim.select(*keys, *extra)
-    return fact.join(broadcast_if_small(dim, max_dim_rows), on=keys, how=how)
+    return fact.join(dim.select(*keys, *extra), on=keys, how=how)
 
 
 def dedupe_dim(dim: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:

@@ -58,16 +58,16 @@ def select_files(manifest: DataFrame, folder: str | None = None,
 
 
 def select_named(manifest: DataFrame, wanted: Sequence[str], folder: str | None = None,
-                 check: bool = True) -> DataFrame:
-    """M5: exactly the named files; raise naming the missing ones, sorted.
+                 check: bool = True, years: Iterable | None = None) -> DataFrame:
+    """M5: exactly the named files (of some years, M4); raise naming the missing ones, sorted.
 
     The wanted list is user input (a handful of names); only the missing
     names, at most that many, come back to the driver.
     """
-    df = select_files(manifest, folder)
+    df = select_files(manifest, folder, years)
     spark = manifest.sparkSession
     wanted_df = spark.createDataFrame([(w,) for w in sorted(set(wanted))], "filename string")
-    selected = df.join(F.broadcast(wanted_df), "filename", "left_semi")
+    selected = df.join(wanted_df, "filename", "left_semi")
     if check:
         missing = [r[0] for r in wanted_df.join(selected.select("filename"), "filename",
                                                 "left_anti").orderBy("filename").collect()]
@@ -103,8 +103,11 @@ def changed_files(selected: DataFrame, state: DataFrame | None, force: bool = Fa
 
 
 def commit_state(state: DataFrame | None, loaded: DataFrame) -> DataFrame:
-    """Record the manifest's update text of the given files."""
-    new = loaded.select("filename", "updated").dropDuplicates(["filename"])
+    """Record the manifest's update text of the given files.
+
+    Of several entries of one file the last in update order (M6) is kept.
+    """
+    new = loaded.groupBy("filename").agg(F.max_by("updated", order_key()).alias("updated"))
     if state is None:
         return new
     return merge_rows(state.select("filename", "updated"), new, ["filename"])

@@ -103,9 +103,10 @@ def profile_tables(tables: Mapping[str, DataFrame], schema_name: str = "",
     """Profile every table (names with the prefix left out), by name."""
     out = None
     for name in sorted(tables):
-        if name.startswith(exclude_prefix):
+        db, _, bare = name.rpartition(".")
+        if bare.startswith(exclude_prefix):
             continue
-        one = profile_table(tables[name], name, schema_name)
+        one = profile_table(tables[name], bare, db or schema_name)
         out = one if out is None else out.unionByName(one)
     return out
 

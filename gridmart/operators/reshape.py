@@ -20,11 +20,11 @@ def unpivot_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
     """
     values = list(values)
     if keep_names is not None:
-        wanted = set(keep_names)
-        values = [v for v in values if v in wanted]
+        unknown = sorted(set(keep_names) - set(values))
+        if unknown:
+            raise ValueError("unknown names: " + ", ".join(unknown))
+        values = [v for v in values if v in set(keep_names)]
         if not values:
-            return (df.select(*ids, F.lit(None).cast("string").alias(name_col),
-                              F.lit(None).cast("double").alias(value_col))
-                    .where(F.lit(False)))
+            raise ValueError("no names to keep")
     return (df.unpivot(list(ids), values, name_col, value_col)
             .where(F.col(value_col).isNotNull()))

@@ -34,35 +34,54 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return kept.unionByName(source)
 
 
+def unique_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source; its write fails where a key occurs in more than one row."""
+    name = F.lit("upsert: key occurs more than once in the source: " + ", ".join(keys))
+    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.where(F.when(F.col("__n") > 1, F.raise_error(name)).isNull()).select(*keys)
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str) -> DataFrame:
-    """Target rows in the partitions the source touches.
+    """Target rows in the partitions the (staged) source touches.
 
-    A semi join on the partition column, so dynamic partition pruning skips
-    the untouched partitions at scan time; no list goes through the driver.
+    The distinct partition values, bounded by the calendar, come to the driver
+    and go into the filter as literals, so the scan lists those partitions only.
     """
-    parts = source.select(partition_col).distinct()
-    return target.join(parts, on=partition_col, how="left_semi")
+    values = [r[0] for r in source.select(partition_col).distinct().collect()]
+    wanted = F.col(partition_col).isin([v for v in values if v is not None])
+    return target.where(wanted | F.col(partition_col).isNull() if None in values else wanted)
+
+
+def write_partitions(df: DataFrame, path: str, partition_col: str, mode: str = "dynamic") -> None:
+    """Overwrite partitions, with rows rebalanced so that a day is few files.
+
+    Adaptive execution splits a heavy day over several tasks and joins light
+    ones, so the number of files follows the bytes, not tasks times days.
+    """
+    (df.hint("rebalance", F.col(partition_col)).write.mode("overwrite")
+     .option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame,
                  keys: Sequence[str], partition_col: str) -> DataFrame:
     """Merge ``source`` into the Parquet table at ``path``, partition-wise.
 
-    Only the date partitions present in the source are rewritten.  The merge
-    result is first written to the shared checkpoint folder, which cuts the
-    lineage to the target files before they are replaced (a lost executor
-    after that point recomputes from the staged copy, not from deleted
-    files).  Then the staged rows overwrite just those partitions.
+    The source is computed once, into the shared checkpoint folder; a NULL or
+    repeated key fails the run before the target is touched.  Only the date
+    partitions present in the source are read and rewritten.  The merge
+    result is staged too, which cuts the lineage to the target files before
+    they are replaced (a lost executor after that point recomputes from the
+    staged copy, not from deleted files).
     """
-    source = reject_null_keys(source, keys)
-    target = read_parquet_or_none(spark, path)
-    if target is None:
-        source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return spark.read.parquet(path)
-    merged = merge_rows(touched_partitions(target, source, partition_col), source, keys)
-    with staged_copy(merged, "upsert-stage") as staged:
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
+    with staged_copy(reject_null_keys(source, keys), "upsert-source") as rows:
+        unique_keys(rows, keys).write.format("noop").mode("overwrite").save()
+        target = read_parquet_or_none(spark, path)
+        if target is None:
+            write_partitions(rows, path, partition_col, "static")
+            return spark.read.parquet(path)
+        merged = merge_rows(touched_partitions(target, rows, partition_col), rows, keys)
+        with staged_copy(merged, "upsert-stage") as staged:
+            write_partitions(staged, path, partition_col)
     return spark.read.parquet(path)
 
 

@@ -10,12 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_parquet_or_none, staged_copy, staged_copy_if_reads
-from ..sources.tsv import read_positional
-from ..functions.text import strip_text
+from ..operators.upsert import write_partitions
+from ..sources.tsv import _cells, header_layouts, scan_tsv
 from ..schemas import DATETIME_HEADER
 
-# Timestamps as the source database's COPY writes them for UTC instants.
-CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ssx"
 # Wall-clock (NTZ) instants carry no offset; fractions are kept.
 CSV_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -72,10 +70,19 @@ def mirror_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     """K3: full copy replacing the target (staged first only when ``df``
     also reads the target, so it is never deleted under a running job)."""
     with staged_copy_if_reads(df, path, "mirror") as staged:
-        w = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        if len(partition_by) == 1:
+            write_partitions(staged, path, partition_by[0], "static")
+        else:
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(*partition_by).parquet(path))
+
+
+def csv_instants(df: DataFrame) -> DataFrame:
+    """UTC instants as the source database's COPY writes them: fraction only if there is one, then +00."""
+    def text(c: str):
+        fraction = F.regexp_replace(F.date_format(c, ".SSSSSS"), r"\.?0+$", "")
+        return F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), fraction, F.lit("+00")).alias(c)
+    return df.select(*[text(c) if kind == "timestamp" else F.col(c) for c, kind in df.dtypes])
 
 
 def rows_for_year(df: DataFrame, ts_col: str, year: int, ordered: bool = True) -> DataFrame:
@@ -105,15 +112,15 @@ def counts_by_year(df: DataFrame, ts_col: str, years) -> DataFrame:
 
 def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence, out_dir: str,
                        ts_col: str = "datetime", known: Sequence[str] | None = None,
-                       single_file_max_rows: int | None = None) -> DataFrame:
+                       one_file: bool = False) -> DataFrame:
     """K4: per table and year, rows of the year ordered by time, as CSV.
 
     Output folder ``<out>/<table>_<year>.csv/``.  Row counts of all years
     come from one aggregation first; then each year is written with a range
     partitioning on the time column plus a sort within partitions, so part
-    files are sorted and in order by name without a single-task sort.  With
-    ``single_file_max_rows`` a year with at most that many rows is written
-    as one file.  Unknown tables are rejected; a table given as None
+    files are sorted and in order by name without a single-task sort.
+    ``one_file`` asks for one file a year instead, sorted by one task: for
+    tables known to be small.  Unknown tables are rejected; a table given as None
     (missing) is skipped with a notice.  Returns (table, year, rows).
     """
     if known is not None:
@@ -134,7 +141,7 @@ def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence,
             rows = rows_for_year(df, ts_col, int(year), ordered=False)
             path = f"{out_dir.rstrip('/')}/{name}_{year}.csv"
             order = F.col(ts_col).asc_nulls_last()
-            if single_file_max_rows is not None and n <= single_file_max_rows:
+            if one_file:
                 out = rows.repartition(1).sortWithinPartitions(order)
             else:
                 # A row hash after the time splits a hot instant (many rows at
@@ -143,8 +150,7 @@ def export_csv_by_year(tables: Mapping[str, DataFrame | None], years: Sequence,
                 out = (rows.withColumn("__h", spread)
                        .repartitionByRange(order, F.col("__h"))
                        .sortWithinPartitions(order, F.col("__h")).drop("__h"))
-            (out.write.mode("overwrite").option("header", True).option("sep", ",")
-             .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
+            (csv_instants(out).write.mode("overwrite").option("header", True).option("sep", ",")
              .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT).csv(path))
             counts.append((name, int(year), n))
             print(f"[OK] {name}_{year}.csv: {n} rows", file=sys.stderr)
@@ -162,21 +168,10 @@ def union_slices(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def merged_headers(spark: SparkSession, paths, header_first: str = DATETIME_HEADER) -> list[str]:
-    """Union of the (trimmed) header names of some files, first-seen order.
-
-    One row per file reaches the driver (its header), never data rows.
-    """
-    rows = read_positional(spark, paths)
-    stripped = F.transform("cells", lambda c: strip_text(c))
-    heads = (rows.where(F.array_contains(stripped, F.lit(header_first)))
-             .select("file_path", stripped.alias("h"))
-             .dropDuplicates(["file_path"]).orderBy("file_path").collect())
-    names: list[str] = []
-    for r in heads:
-        for h in r["h"]:
-            if h and h not in names:
-                names.append(h)
-    return names
+    """Union of the (trimmed) header names of some files, in the order of their distinct header lines."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    names = [name for line in header_layouts(spark, paths, header_first) for name in _cells(line) if name]
+    return list(dict.fromkeys(names))
 
 
 def merge_monthly_tsv(spark: SparkSession, paths, out_path: str, area: str | None = None,
@@ -186,7 +181,6 @@ def merge_monthly_tsv(spark: SparkSession, paths, out_path: str, area: str | Non
 
     Output is one tab-separated folder with a header row.
     """
-    from ..sources.tsv import scan_tsv
     names = merged_headers(spark, paths, header_first)
     df = scan_tsv(spark, paths, names, header_first=header_first).drop("file_path")
     if area is not None:
@@ -210,12 +204,13 @@ def merge_by_year(spark: SparkSession, landed_dir: str, instrument: str, years:
     from ..operators.manifest import list_landed
     files = (list_landed(spark, landed_dir, years)
              .select("filename", "path").orderBy("filename").collect())
-    by_year: dict[str, list[str]] = {}
+    by_year: dict[str, dict[str, list[str]]] = {}
     for r in files:
-        by_year.setdefault(r["filename"][:4], []).append(r["path"])
+        by_year.setdefault(r["filename"][:4], {}).setdefault(r["filename"], []).append(r["path"])
     out = {}
     for year in sorted(by_year):
-        paths = by_year[year][:limit] if limit else by_year[year]
+        names = sorted(by_year[year])[:limit] if limit else sorted(by_year[year])
+        paths = [path for name in names for path in by_year[year][name]]
         suffix = f"_{area}" if area else ""
         target = f"{out_dir.rstrip('/')}/{instrument}_{year}{suffix}.csv"
         out[year] = merge_monthly_tsv(spark, paths, target, area, header_first)

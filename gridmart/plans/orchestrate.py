@@ -20,13 +20,15 @@ from pyspark.sql import functions as F
 
 from ..operators import incremental, manifest, quality
 from ..operators.incremental import by_time_days as incremental_days
-from ..operators.upsert import upsert_table
+from ..operators.upsert import upsert_table, write_partitions
 from ..schemas import ENTITIES, INSTRUMENTS, PUBLISHED
-from ..session import read_parquet_or_none, staged_copy
+from ..session import (delete_path, path_exists, read_parquet_or_none, read_version, scratch_path,
+                       write_version)
 from ..sources.pages import read_entity
 from ..sources.tsv import scan_instrument
 from . import marts as M
 from . import staging as S
+from .sync import sync_many
 from .export import append_raw, loaded_ids, mirror_table, next_load_id
 
 
@@ -48,46 +50,50 @@ def select_instruments(names: Sequence[str] | None = None) -> list[str]:
     return list(names)
 
 
-def _read_state(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_parquet_or_none(spark, path)
-
-
-def _write_small(df: DataFrame, path: str) -> None:
-    with staged_copy(df, "state") as staged:
-        staged.write.mode("overwrite").parquet(path)
+class UnlandedFilesError(RuntimeError):
+    pass
 
 
 def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None = None,
                seed: bool = False, selected_files: Sequence[str] | None = None,
                latest_only: bool = False, years=None, force: bool = False,
-               on_error: str = "fail") -> dict:
+               on_error: str = "fail", multi_line: bool = True) -> dict:
     """G1 for ENTSO-E: manifest diff -> scan chosen files -> append -> commit state.
 
     The driver only sees the list of chosen file paths.  State is committed
-    after the raw write succeeded (a crash in between reloads the files,
-    which the latest-wins staging absorbs).  ``on_error="fail"`` aborts on a
+    for each instrument after its raw write succeeded (a crash in between
+    reloads the files, which the latest-wins staging absorbs).  Wanted files
+    that have not landed fail the run if they were named; else the report
+    has their number under ``<instrument>:unlanded`` and they stay to be loaded.  ``on_error="fail"`` aborts on a
     bad instant (the source's behaviour); ``"reject"`` appends the good rows
     and writes the bad ones to ``rejects/<resource>`` under the same load id.
     """
     log = manifest.read_manifest(spark, _p(root, "manifest"))
     state_path = _p(root, "state", "files")
-    state = _read_state(spark, state_path)
+    state = read_version(spark, state_path)
     report = {}
     for key in select_instruments(instruments):
         inst = INSTRUMENTS[key]
         if selected_files is not None:
-            chosen = manifest.select_named(log, selected_files, inst.folder)
+            chosen = manifest.select_named(log, selected_files, inst.folder, years=years)
         else:
             chosen = manifest.select_files(log, inst.folder, years)
             if latest_only:
                 chosen = manifest.latest_per_folder(chosen)
         if seed:
-            state = manifest.commit_state(state, chosen)
+            write_version(manifest.commit_state(state, chosen), state_path)
+            state = read_version(spark, state_path)
             report[key] = "seeded"
             continue
         todo = manifest.changed_files(chosen, state, force)
         landed = manifest.list_landed(spark, _p(root, "landing", inst.folder))
-        todo = todo.join(landed.select("filename", "path"), "filename")
+        wanted = todo.join(landed.select("filename", "path"), "filename", "left")
+        absent = [r[0] for r in wanted.where("path IS NULL").select("filename").distinct().orderBy("filename").collect()]
+        if absent and selected_files is not None:
+            raise UnlandedFilesError("not landed: " + ", ".join(absent))
+        if absent:
+            report[f"{key}:unlanded"] = len(absent)
+        todo = wanted.where("path IS NOT NULL")
         found = todo.select("filename", "path").distinct().collect()
         paths = [r["path"] for r in found]
         if not paths:
@@ -96,61 +102,112 @@ def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None
         raw_path = _p(root, "raw", inst.resource)
         load_id = next_load_id(spark, raw_path)
         if on_error == "reject":
-            text = scan_instrument(spark, paths, inst, on_error="keep").drop("file_path")
+            text = scan_instrument(spark, paths, inst, on_error="keep",
+                                   multi_line=multi_line).drop("file_path")
             rows, rejects = quality.split_rejects(
                 text, {"datetime": True, "update_time": False}, source="entsoe")
             append_raw(rejects, _p(root, "rejects", inst.resource), load_id)
         else:
-            rows = scan_instrument(spark, paths, inst).drop("file_path")
+            rows = scan_instrument(spark, paths, inst, multi_line=multi_line).drop("file_path")
         append_raw(rows, raw_path, load_id)
-        state = manifest.commit_state(state, todo)
+        write_version(manifest.commit_state(state, todo), state_path)
+        state = read_version(spark, state_path)
         report[key] = len({r["filename"] for r in found})
-    if state is not None:
-        _write_small(state, state_path)
     return report
 
 
+def _new_pages(spark: SparkSession, landing: str, state: DataFrame | None):
+    """(paths of page files not read yet, the state with them): M8 over names and modification times."""
+    pages = manifest.list_landed(spark, landing).select(
+        "filename", "path", F.col("modificationTime").cast("string").alias("updated"))
+    todo = manifest.changed_files(pages, state)
+    return [r["path"] for r in todo.select("path").collect()], manifest.commit_state(state, pages)
+
+
 def run_pse(spark: SparkSession, root: str, seed: bool = False, start: str | None = None,
-            dates: Sequence[str] | None = None, on_error: str = "skip",
-            entities: dict | None = None, lookback_days: int = 3, today=None) -> dict:
+            dates: Sequence[str] | None = None, entities: dict | None = None,
+            lookback_days: int = 3, today=None, multi_line: bool = True) -> dict:
     """G1 for PSE: landed pages -> rows by dates or by publication watermark.
 
     Explicit ``dates`` win over increments; entities whose strategy is
     ``business_date`` take the last ``lookback_days`` days; the others take
     rows published after the watermark (an explicit ``start`` wins over the
-    state; no start and no state loads nothing).
+    state; no start and no state loads nothing).  An increment reads only
+    pages that landed since the last one.  An entity whose pages have not
+    landed is skipped; bad data always fails the run.
     """
     report = {}
     for key, ent in (entities or ENTITIES).items():
-        wm_path = _p(root, "state", "pse", key)
-        current = _read_state(spark, wm_path)
+        landing, wm_path = _p(root, "landing", "pse", key), _p(root, "state", "pse", key)
+        current = read_version(spark, wm_path)
         if seed:
-            _write_small(incremental.seed_watermark(spark), wm_path)
+            write_version(incremental.seed_watermark(spark), wm_path)
             report[key] = "seeded"
             continue
-        try:
-            rows = read_entity(spark, _p(root, "landing", "pse", key), ent)
-            if dates or ent.incremental == "business_date":
-                # explicit days win; the heavy strategy takes the last few days
-                days = dates or incremental.lookback_days(lookback_days, today)
-                chosen = incremental.by_business_dates(rows, "business_date", days)
-                new_wm = None
-            else:
-                last = start or (current.first()["watermark"] if current is not None else None)
-                chosen = incremental.incremental_since(rows, "publication_ts_utc", last)
-                new_wm = None if last is None else incremental.advance_watermark(
-                    chosen, "publication_ts_utc", last)
-            raw_path = _p(root, "raw_pse", key)
-            append_raw(chosen, raw_path, next_load_id(spark, raw_path))
-            if new_wm is not None:
-                merged = new_wm if current is None else current.unionByName(new_wm).agg(
-                    F.max("watermark").alias("watermark"))
-                _write_small(merged, wm_path)
+        if not path_exists(spark, landing):
+            report[key] = "skipped: no landed pages"
+            continue
+        raw_path = _p(root, "raw_pse", key)
+        if dates is not None or ent.incremental == "business_date":
+            # explicit days win; the heavy strategy takes the last few days
+            days = dates if dates is not None else incremental.lookback_days(lookback_days, today)
+            rows = read_entity(spark, landing, ent, multi_line)
+            append_raw(incremental.by_business_dates(rows, "business_date", days), raw_path,
+                       next_load_id(spark, raw_path))
             report[key] = "loaded"
-        except Exception as exc:  # noqa: BLE001
-            if on_error != "skip":
-                raise
-            report[key] = f"skipped: {type(exc).__name__}"
+            continue
+        last = start or (current.first()["watermark"] if current is not None else None)
+        pages_path = _p(root, "state", "pse_pages", key)
+        pages = read_version(spark, pages_path)
+        if last is None:
+            report[key] = "no baseline"
+            continue
+        paths, read = _new_pages(spark, landing, None if start else pages)
+        if not paths:
+            report[key] = "nothing new"
+            continue
+        rows = read_entity(spark, paths, ent, multi_line)
+        chosen = incremental.incremental_since(rows, "publication_ts_utc", last)
+        append_raw(chosen, raw_path, next_load_id(spark, raw_path))
+        new = incremental.advance_watermark(chosen, "publication_ts_utc", last)
+        write_version(new if current is None else current.unionByName(new).agg(
+            F.max("watermark").alias("watermark")), wm_path)
+        write_version(read, pages_path)
+        report[key] = "loaded"
+    return report
+
+
+def run_ingest(spark: SparkSession, root: str, sources: Sequence[str] = ("entsoe", "pse"),
+               date: str | None = None, from_date: str | None = None, backfill_days: int | None = None,
+               instruments: Sequence[str] | None = None, seed: bool = False, today=None, now=None,
+               **entsoe) -> dict:
+    """G1: both sources or one.
+
+    ``date`` wins over ``from_date`` (every day from there to today), either
+    wins over increments, and ``backfill_days`` is turned into the start of
+    an increment.  Other options go to :func:`run_entsoe`.
+    """
+    unknown = sorted(set(sources) - {"entsoe", "pse"})
+    if unknown:
+        raise ValueError("unknown sources: " + ", ".join(unknown))
+    report = {}
+    if "entsoe" in sources:
+        report["entsoe"] = run_entsoe(spark, root, instruments, seed=seed, **entsoe)
+    if "pse" in sources:
+        dates = [date] if date else incremental.dates_from(from_date, today) if from_date else None
+        report["pse"] = run_pse(spark, root, seed=seed, dates=dates,
+                                start=incremental.backfill_start(backfill_days, now), today=today)
+    return report
+
+
+def run_all(spark: SparkSession, root: str, replica_root: str, overlap_days: int = 2,
+            checks: bool = True, **ingest) -> dict:
+    """Ingest, models and replica refresh, one after the other."""
+    report = {"ingest": run_ingest(spark, root, **ingest)}
+    built = run_models(spark, root, checks=checks)
+    marts = {name: spark.read.parquet(path) for name, path in built.items()}
+    marts = {name: df.drop("part_date") for name, df in marts.items()}
+    report["sync"] = sync_many(spark, marts, replica_root, list(marts), overlap_days)
     return report
 
 
@@ -175,18 +232,20 @@ def run_models(spark: SparkSession, root: str, checks: bool = True,
     than the last run can change.  Those days are recomputed from *all* raw
     rows of the same days (range filters pushed into the scan) and only
     their mart partitions are rewritten -- merged by key for merge marts,
-    replaced for table marts.  ``dim_area`` then adds the areas of the
-    touched days to the existing dimension (a full run rebuilds it exactly).
-    The processed load id per raw table is committed after the marts.
+    replaced for table marts.  ``dim_area`` is the distinct areas of a small
+    table that holds each day's areas; the touched days are replaced there,
+    so an area that was renamed goes as in a full run.  The processed load id
+    per raw table is committed after the marts.  Each staging relation is
+    computed once, into the scratch folder.
     """
-    stg, commits = {}, {}
+    stg, commits, scratch = {}, {}, []
     for name, fn, path, tcol, key in _raw_sources(root):
         raw = read_parquet_or_none(spark, path)
         if raw is None:
             continue
         if incremental:
             state_path = _p(root, "state", "models", key)
-            state = _read_state(spark, state_path)
+            state = read_version(spark, state_path)
             last = state.first()["load_id"] if state is not None else 0
             ids = loaded_ids(spark, path)
             if not ids or ids[-1] <= last:
@@ -195,8 +254,11 @@ def run_models(spark: SparkSession, root: str, checks: bool = True,
                     .select(F.to_date(tcol)).distinct().collect()]
             raw = incremental_days(raw, tcol, days)
             commits[state_path] = ids[-1]
-        stg[name] = fn(raw)
-        stg[name].createOrReplaceTempView(name)
+        view = fn(raw)
+        view.createOrReplaceTempView(name)
+        scratch.append(scratch_path(spark, name))
+        view.write.parquet(scratch[-1])
+        stg[name] = spark.read.parquet(scratch[-1])
     if checks:
         run_checks(stg)
     built = {}
@@ -209,22 +271,30 @@ def run_models(spark: SparkSession, root: str, checks: bool = True,
         if keys is not None:
             upsert_table(spark, path, M.with_partition_date(df, tcol), keys, "part_date")
         elif tcol is None:
-            if incremental and read_parquet_or_none(spark, path) is not None:
-                df = M.distinct_rows(spark.read.parquet(path).unionByName(df),
-                                     M.DIM_AREA_COLUMNS)
-            mirror_table(df, path)
+            mirror_table(M.distinct_rows(_areas_by_day(spark, root, stg[src], incremental), M.DIM_AREA_COLUMNS), path)
         elif incremental and read_parquet_or_none(spark, path) is not None:
-            (M.with_partition_date(df, tcol).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("part_date").parquet(path))
+            write_partitions(M.with_partition_date(df, tcol), path, "part_date")
         else:
             mirror_table(M.with_partition_date(df, tcol), path, ["part_date"])
         built[mart] = path
+    if checks and "dim_area" in built:
+        quality.assert_checks(quality.check_unique(spark.read.parquet(built["dim_area"]), ["area_map_code"]))
     for state_path, load_id in commits.items():
-        _write_small(spark.range(1).select(F.lit(load_id).cast("bigint").alias("load_id")),
-                     state_path)
+        write_version(spark.range(1).select(F.lit(load_id).cast("bigint").alias("load_id")),
+                      state_path)
+    for path in scratch:
+        delete_path(spark, path)
     return built
 
 
+def _areas_by_day(spark: SparkSession, root: str, prices: DataFrame, incremental: bool) -> DataFrame:
+    """The areas of each day, with the days of ``prices`` replaced (all days in a full run)."""
+    path = _p(root, "state", "area_days")
+    days = M.with_partition_date(prices, "datetime").select("part_date", *M.DIM_AREA_COLUMNS).distinct()
+    write_partitions(days, path, "part_date", "dynamic" if incremental else "static")
+    return spark.read.parquet(path)
+
+
 def run_checks(stg: dict) -> None:
     """Declared tests: not-null on staging grains (Q2)."""
     required = {

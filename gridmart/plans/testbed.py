@@ -20,7 +20,7 @@ from ..functions.numeric import try_double
 from ..functions.text import text_or_empty
 from ..functions.timeutc import format_utc, with_utc
 from ..operators import audit, incremental, manifest, profile, quality
-from ..operators.joins import MAX_BROADCAST_ROWS, join_dim
+from ..operators.joins import join_dim
 from ..operators.metrics import metric_query
 from ..operators.reshape import unpivot_long
 from ..operators.upsert import merge_rows
@@ -47,7 +47,7 @@ def ntz(df: DataFrame) -> DataFrame:
 
 
 def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation + region as an area dimension (25 rows, size-checked broadcast)."""
+    """nation + region as an area dimension (25 rows)."""
     n = _t(spark, sf_dir, "nation")
     r = _t(spark, sf_dir, "region")
     dim = n.join(r, n.n_regionkey == r.r_regionkey).select(
@@ -56,14 +56,7 @@ def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("EIC-"), F.col("n_nationkey").cast("string")).alias("area_code"),
         F.lower("n_name").alias("area_name"),
         F.col("r_name").alias("area_type_code"))
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SMALL_DIMS:
-        _SMALL_DIMS[key] = dim.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return F.broadcast(dim) if _SMALL_DIMS[key] else dim
-
-
-# Size checks of the read-only area dimension, per application and folder.
-_SMALL_DIMS: dict = {}
+    return dim
 
 
 def _with_area(df: DataFrame, areas: DataFrame, key) -> DataFrame:

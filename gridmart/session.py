@@ -8,6 +8,7 @@ partition-wise upserts and loads, static for full refreshes), never globally.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -47,19 +48,18 @@ def get_session(master: str | None = None, app: str = "gridmart",
 def apply_settings(spark: SparkSession) -> None:
     """Apply the runtime-settable subset of SETTINGS to an existing session."""
     for key, value in SETTINGS.items():
-        if key == "spark.ui.enabled":
-            continue
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave it
-            pass
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+        raise RuntimeError("the session time zone must be UTC")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is used as is.  Only
-    when it is unset (local tests) a private folder is created and set.
+    on a ``local`` or ``local[...]`` master, where driver and tasks share one
+    machine, may it be unset: a private folder is then created and set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -67,12 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="gridmart-ckpt-")
-    sc.setCheckpointDir(local)
-    try:
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:
-        pass
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="gridmart-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -105,6 +102,37 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a small table, oldest first."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    found = [s.getPath() for s in fs.listStatus(hpath) if s.getPath().getName().startswith("v=")]
+    done = [v for v in found if fs.exists(jvm.org.apache.hadoop.fs.Path(v, "_SUCCESS"))]
+    return sorted(v.toString() for v in done)
+
+
+def read_version(spark: SparkSession, path: str):
+    """The newest complete version of a small table, or None."""
+    found = _versions(spark, path)
+    return spark.read.parquet(found[-1]) if found else None
+
+
+def write_version(df, path: str) -> None:
+    """Write a small table as a new version; a crash leaves the one before.
+
+    The version before is kept (a running reader may hold it), older ones go.
+    """
+    spark = df.sparkSession
+    found = _versions(spark, path)
+    number = int(found[-1].rsplit("v=", 1)[1]) + 1 if found else 1
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/v={number:012d}")
+    for old in found[:-1]:
+        delete_path(spark, old)
+
+
 @contextmanager
 def staged_copy(df, tag: str):
     """Write ``df`` to a fresh folder under the checkpoint root and yield it
@@ -159,13 +187,20 @@ def staged_copy_if_reads(df, path: str, tag: str):
         yield df
 
 
+#: Spark's error conditions for a path that is missing or holds no data files.
+_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
 def read_parquet_or_none(spark: SparkSession, path: str):
     """The Parquet table at ``path``, or None when it is missing or holds no
-    data files yet (e.g. a first write that failed)."""
+    data files yet (e.g. a first write that failed).  Any other failure to
+    read it is raised, so an unreadable table is never taken for absent."""
     from pyspark.errors import AnalysisException
     if not path_exists(spark, path):
         return None
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() not in _ABSENT:
+            raise
         return None

@@ -10,15 +10,17 @@ from ..functions.timeutc import with_utc
 from ..schemas import ENTITIES, Entity, entity_row_schema, page_schema
 
 
-def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
+def read_pages(spark: SparkSession, path: str | list[str], row_schema: T.StructType,
                multi_line: bool = True) -> DataFrame:
     """Union of every page's ``value`` array; a page without it gives no rows.
 
     Parsed by Spark's JSON reader with an explicit schema (no inference) and
     exploded in the same stage.  ``multi_line=True``: one (pretty-printed)
     page per file; ``False``: JSON Lines, one page per line, splittable.
+    A page that is cut off, or holds a value of another type, fails the job.
     """
     pages = (spark.read.schema(page_schema(row_schema)).option("multiLine", multi_line)
+             .option("mode", "FAILFAST")
              .json(path))
     return pages.select(F.explode("value").alias("r")).select("r.*")
 
@@ -26,7 +28,8 @@ def read_pages(spark: SparkSession, path: str, row_schema: T.StructType,
 def parse_pages(df: DataFrame, text_col: str, row_schema: T.StructType,
                 keep: tuple = ()) -> DataFrame:
     """S7 on page text held in a column (e.g. a landed-text table)."""
-    parsed = df.select(*keep, F.from_json(F.col(text_col), page_schema(row_schema)).alias("p"))
+    parsed = df.select(*keep, F.from_json(F.col(text_col), page_schema(row_schema),
+                                            {"mode": "FAILFAST"}).alias("p"))
     return parsed.select(*keep, F.explode("p.value").alias("r")).select(*keep, "r.*")
 
 
@@ -40,7 +43,8 @@ def normalize_entity(rows: DataFrame, entity: str | Entity, on_error: str = "fai
     return out
 
 
-def read_entity(spark: SparkSession, path: str, entity: str | Entity) -> DataFrame:
+def read_entity(spark: SparkSession, path: str | list[str], entity: str | Entity,
+                multi_line: bool = True) -> DataFrame:
     ent = ENTITIES[entity] if isinstance(entity, str) else entity
-    return normalize_entity(read_pages(spark, path, entity_row_schema(ent)), ent)
+    return normalize_entity(read_pages(spark, path, entity_row_schema(ent), multi_line), ent)
 

@@ -2,124 +2,99 @@
 
 ``spark.read.csv`` with ``header=True`` takes one file's header and maps all
 other files by position, so a file with reordered columns would be silently
-scrambled.  Here every file is read once, positionally, into a wide all-text
-schema; each file's header row is found by its first cell, and every wanted
-column is picked from the position its name has in *that file's* header.
-The header side has one row per file and is broadcast after a size check.
+scrambled.  Here the header lines are found by the text source, grouped by
+their distinct content (a *layout*), and the layouts alone come to the driver.
+They give the width of the positional read, whatever it is, and the position
+of each wanted name, so one CSV parse reads just the cells that are wanted.
+With one layout no join is needed; with several each row finds its file's
+layout by a join on the file path.
 Quotes with doubled-quote escapes and quoted newlines are honoured.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip_text, text_or_empty
 from ..functions.timeutc import with_utc
-from ..operators.joins import broadcast_if_small
 from ..schemas import (COMMON_HEADERS, DATETIME_HEADER, INSTRUMENTS, UPDATE_TIME_HEADER,
                        Instrument)
 
-# Width of the positional read.  Parse cost grows with it; the source files
-# have at most 17 columns.  A header that fills the last field fails the job
-# (the file may be wider), so a too-small width is never silent.
-MAX_FIELDS = 32
-MAX_FILES_BROADCAST = 1_000_000
-
 
 class MissingHeaderError(RuntimeError):
     pass
 
 
-def _wide_schema(n: int) -> T.StructType:
-    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)])
+def _cells(line: str) -> list[str]:
+    """The stripped cells of a header line."""
+    return [c.strip() for c in next(csv.reader([line], delimiter="\t"), [])]
 
 
-def read_positional(spark: SparkSession, paths: str | Sequence[str],
-                    max_fields: int = MAX_FIELDS, multi_line: bool = True) -> DataFrame:
-    """All rows (header rows included) as an array of text plus the file path.
+def _names_header(line: Column, header_first: str) -> Column:
+    """Whether one of a line's cells, stripped and unquoted, is the given name."""
+    cells = F.transform(F.split(line, "\t"), lambda c: strip_text(F.regexp_replace(strip_text(c), '^"|"$', "")))
+    return line.contains(header_first) & F.array_contains(cells, header_first)
 
-    ``multi_line`` honours quoted newlines but makes each file one task; for
-    large files known to have none, ``False`` lets Spark split them (header
-    matching still works: it joins on the file path, not on the split).
-    """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = (spark.read.schema(_wide_schema(max_fields))
-           .option("sep", "\t").option("header", False)
-           .option("quote", '"').option("escape", '"')
-           .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-           .csv(paths))
-    return raw.select(F.array(*[F.col(f"_c{i}") for i in range(max_fields)]).alias("cells"),
-                      F.col("_metadata.file_path").alias("file_path"))
-
-
-def map_by_header(rows: DataFrame, wanted: Sequence[str],
-                  header_first: str = DATETIME_HEADER, check_headers: bool = True) -> DataFrame:
-    """Positional rows (``cells``, ``file_path``) -> text columns by header name.
-
-    A file's header row is the row naming ``header_first`` in any position
-    (so files with reordered columns are found too).  The position of every
-    wanted name is computed once per *file*, in the small header table; the
-    data rows then take each column with one ``element_at``.  Also used on
-    streaming micro-batches (a file is always whole in one batch).
-    """
-    cells = F.col("cells")
-    # array_contains is NULL for arrays holding NULLs (empty cells): coalesce.
-    is_header = F.coalesce(F.array_contains(cells, F.lit(header_first)), F.lit(False)) \
-        | F.coalesce(strip_text(cells[0]) == F.lit(header_first), F.lit(False))
-    stripped = F.transform("cells", lambda c: F.coalesce(strip_text(c), F.lit("")))
-    positions = [F.array_position("__h", F.lit(name)).cast("int").alias(f"__p{i}")
-                 for i, name in enumerate(wanted)]
-    headers = (rows.where(is_header)
-               .select("file_path", stripped.alias("__h"))
-               .dropDuplicates(["file_path"])
-               .select("file_path", F.lit(True).alias("__has_header"),
-                       (F.element_at("__h", -1) != "").alias("__too_wide"), *positions))
-    data = rows.where(~is_header)
-    joined = data.join(_bounded_broadcast(rows, headers), "file_path", "left")
-    if check_headers:
-        # A file without a header line fails the same job (no extra pass).
-        missing = F.concat(F.lit("file without header line: "), F.col("file_path"))
-        joined = joined.where(F.when(F.col("__has_header").isNull(), F.raise_error(missing))
-                              .isNull())
-    wide = F.concat(F.lit("header may have more fields than read; raise max_fields: "),
-                    F.col("file_path"))
-    joined = joined.where(F.when(F.col("__too_wide"), F.raise_error(wide)).isNull())
-    cols = []
-    for i, name in enumerate(wanted):
-        pos = F.col(f"__p{i}")
-        cols.append(F.when(pos > 0, text_or_empty(F.element_at(cells, pos)))
-                    .otherwise(F.lit("")).alias(name))
-    return joined.select(*cols, "file_path")
-
-
-def _bounded_broadcast(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Broadcast the per-file header table when its size is proven small.
-
-    It holds at most one row per input file, and the file count is known
-    from the driver's file listing (no Spark job).  Streaming micro-batches
-    have no listing; there the rows are counted (bounded by ``limit``).
-    """
-    try:
-        n_files = len(rows.inputFiles())
-    except Exception:  # noqa: BLE001 - e.g. a micro-batch DataFrame
-        return broadcast_if_small(headers, MAX_FILES_BROADCAST)
-    return F.broadcast(headers) if n_files <= MAX_FILES_BROADCAST else headers
+
+def file_layouts(spark: SparkSession, paths: Sequence[str], header_first: str) -> DataFrame:
+    """(file_path, header): the header line of each file that has lines; null if it names no header."""
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file_path"))
+    header = F.when(_names_header(F.col("value"), header_first), F.col("value"))
+    return lines.where(strip_text("value") != "").groupBy("file_path").agg(F.max(header).alias("header"))
+
+
+def header_layouts(spark: SparkSession, paths: Sequence[str], header_first: str = DATETIME_HEADER,
+                   check_headers: bool = True) -> list[str]:
+    """The distinct header lines of some files, sorted (few, however many the files)."""
+    found = file_layouts(spark, paths, header_first).groupBy("header").agg(F.min("file_path").alias("example")).collect()
+    bare = [r["example"] for r in found if r["header"] is None]
+    if bare and check_headers:
+        raise MissingHeaderError(f"file without header line: {bare[0]}")
+    return sorted(r["header"] for r in found if r["header"] is not None)
 
 
 def scan_tsv(spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str],
              header_first: str = DATETIME_HEADER, check_headers: bool = True,
-             max_fields: int = MAX_FIELDS, multi_line: bool = True) -> DataFrame:
+             multi_line: bool = True) -> DataFrame:
     """Rows of all files as text columns named by their (trimmed) header.
 
-    Missing columns and short rows give ''; extra fields are ignored; every
-    value is stripped.  Adds ``file_path``.
+    Missing columns and short rows give ''; fields beyond the header are
+    ignored; every value is stripped.  Adds ``file_path``.  ``multi_line``
+    honours quoted newlines but makes each file one task; for large files
+    known to have none, ``False`` lets Spark split them.
     """
-    rows = read_positional(spark, paths, max_fields, multi_line)
-    return map_by_header(rows, wanted, header_first, check_headers)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    layouts = header_layouts(spark, paths, header_first, check_headers)
+    names = [_cells(h) for h in layouts]
+    width = max((len(n) for n in names), default=0) + 1
+    raw = (spark.read.schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)]))
+           .option("sep", "\t").option("header", False).option("quote", '"').option("escape", '"')
+           .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(paths))
+    rows = raw.select("*", F.col("_metadata.file_path").alias("file_path"))
+    if len(layouts) > 1:
+        number = F.create_map(*[F.lit(x) for k, h in enumerate(layouts) for x in (h, k)])
+        of_file = file_layouts(spark, paths, header_first).select("file_path", number[F.col("header")].alias("__layout"))
+        rows = rows.join(of_file, "file_path")
+
+    def by_layout(cell_of) -> Column:
+        """One expression over the layouts; ``cell_of`` gives it for one of them."""
+        if not names:
+            return F.lit("")
+        out = cell_of(names[0])
+        for k, own in enumerate(names[1:], 1):
+            out = F.when(F.col("__layout") == k, cell_of(own)).otherwise(out)
+        return out
+
+    def cell(own: list[str], name: str) -> Column:
+        return text_or_empty(f"_c{own.index(name)}") if name in own else F.lit("")
+
+    rows = rows.where(by_layout(lambda own: cell(own, header_first)) != header_first)
+    return rows.select(*[by_layout(lambda own, name=name: cell(own, name)).alias(name) for name in wanted], "file_path")
 
 
 def instrument_headers(instrument: str | Instrument) -> dict:
@@ -149,14 +124,15 @@ def type_instrument(text: DataFrame, instrument: str | Instrument,
 
 
 def scan_instrument(spark: SparkSession, paths: str | Sequence[str],
-                    instrument: str | Instrument, on_error: str = "fail") -> DataFrame:
+                    instrument: str | Instrument, on_error: str = "fail",
+                    multi_line: bool = True) -> DataFrame:
     """One instrument's files as its raw table schema.
 
     ``datetime`` is required, ``update_time`` optional (blank -> NULL); both
     strictly UTC.  With ``on_error="fail"`` a bad instant aborts the job; with
     ``"keep"`` both stay text for :func:`gridmart.operators.quality.split_rejects`.
     """
-    text = scan_tsv(spark, paths, list(instrument_headers(instrument)))
+    text = scan_tsv(spark, paths, list(instrument_headers(instrument)), multi_line=multi_line)
     return type_instrument(text, instrument, on_error)
 
 

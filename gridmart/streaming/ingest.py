@@ -9,24 +9,18 @@ the same partition instead of appending twice.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tsv import (MAX_FIELDS, _wide_schema, instrument_headers, map_by_header,
-                           type_instrument)
-from ..schemas import DATETIME_HEADER
+from ..sources.tsv import scan_instrument
 
 
-def landed_tsv_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100,
-                      max_fields: int = MAX_FIELDS) -> DataFrame:
-    """Streaming positional rows (cells, file_path) of landed tab-separated files."""
-    raw = (spark.readStream.schema(_wide_schema(max_fields))
-           .option("sep", "\t").option("header", False)
-           .option("quote", '"').option("escape", '"').option("multiLine", True)
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .csv(landing_dir))
-    return raw.select(F.array(*[F.col(f"_c{i}") for i in range(max_fields)]).alias("cells"),
-                      F.col("_metadata.file_path").alias("file_path"))
+def landed_files_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """Streaming paths of landed files (one row for each line; the content is not kept)."""
+    return (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
+            .load(landing_dir).select(F.col("_metadata.file_path").alias("file_path")))
 
 
 def write_load(batch: DataFrame, raw_path: str, load_id: int) -> None:
@@ -38,17 +32,20 @@ def write_load(batch: DataFrame, raw_path: str, load_id: int) -> None:
 
 def stream_ingest_files(spark: SparkSession, landing_dir: str, raw_path: str,
                         checkpoint: str, instrument: str, load_id_base: int = 0,
-                        max_files_per_trigger: int = 100, available_now: bool = True):
+                        max_files_per_trigger: int = 100, available_now: bool = True,
+                        multi_line: bool = True):
     """Start (and with ``available_now`` run to completion) the ingest stream.
 
     Returns the StreamingQuery.  Load id = ``load_id_base + batch id``.
     """
-    rows = landed_tsv_stream(spark, landing_dir, max_files_per_trigger)
+    rows = landed_files_stream(spark, landing_dir, max_files_per_trigger)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        text = map_by_header(batch, list(instrument_headers(instrument)), DATETIME_HEADER)
-        typed = type_instrument(text, instrument).drop("file_path")
-        write_load(typed, raw_path, load_id_base + batch_id)
+        # At most max_files_per_trigger paths; their files are read whole, once.
+        paths = [unquote(r["file_path"]) for r in batch.distinct().collect()]
+        if paths:
+            write_load(scan_instrument(spark, paths, instrument, multi_line=multi_line).drop("file_path"),
+                       raw_path, load_id_base + batch_id)
 
     w = (rows.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint))

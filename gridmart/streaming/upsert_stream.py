@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe_latest
-from ..operators.upsert import touched_partitions
+from ..operators.upsert import touched_partitions, write_partitions
 from ..session import read_parquet_or_none, staged_copy
 
 PART = "part_date"
@@ -25,18 +25,18 @@ def merge_latest(spark: SparkSession, path: str, batch: DataFrame, grain: Sequen
                  time_col: str, load_col: str = "load_id",
                  tiebreak: Sequence[str] = ()) -> None:
     """Merge one batch into the table at ``path`` (latest load id wins)."""
-    rows = dedupe_latest(batch, grain, order_by=(load_col,), tiebreak=tiebreak) \
+    latest = dedupe_latest(batch, grain, order_by=(load_col,), tiebreak=tiebreak) \
         .withColumn(PART, F.to_date(F.col(time_col)))
-    target = read_parquet_or_none(spark, path)
-    if target is None:
-        rows.write.mode("overwrite").partitionBy(PART).parquet(path)
-        return
-    rows = rows.select(*target.columns)
-    both = touched_partitions(target, rows, PART).unionByName(rows)
-    merged = dedupe_latest(both, grain, order_by=(load_col,), tiebreak=tiebreak)
-    with staged_copy(merged, "stream-upsert") as staged:
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PART).parquet(path))
+    with staged_copy(latest, "stream-batch") as rows:
+        target = read_parquet_or_none(spark, path)
+        if target is None:
+            write_partitions(rows, path, PART, "static")
+            return
+        rows = rows.select(*target.columns)
+        both = touched_partitions(target, rows, PART).unionByName(rows)
+        merged = dedupe_latest(both, grain, order_by=(load_col,), tiebreak=tiebreak)
+        with staged_copy(merged, "stream-upsert") as staged:
+            write_partitions(staged, path, PART)
 
 
 def stream_upsert_latest(spark: SparkSession, source: DataFrame, path: str, checkpoint: str,

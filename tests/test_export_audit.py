@@ -16,7 +16,7 @@ def test_export_by_year(spark, tmp):
     df = spark.createDataFrame([(dt.datetime(2025, 12, 31, 23), 1.0), (dt.datetime(2026, 1, 1), 2.0),
                                 (dt.datetime(2026, 6, 1), 3.0)], "datetime timestamp, price double")
     counts = export_csv_by_year({"fct_energy_prices": df, "fct_pse_cor": None}, [2025, 2026], tmp,
-                                known=["fct_energy_prices", "fct_pse_cor"], single_file_max_rows=10)
+                                known=["fct_energy_prices", "fct_pse_cor"], one_file=True)
     got = {(r["table_name"], r["year"]): r["row_count"] for r in counts.collect()}
     assert got == {("fct_energy_prices", 2025): 1, ("fct_energy_prices", 2026): 2}
     text = "".join(open(p).read() for p in sorted(glob.glob(f"{tmp}/fct_energy_prices_2026.csv/*.csv")))
@@ -52,18 +52,20 @@ def test_load_progress(spark):
     assert prog["aggregated_generation"]["started"] == 0
     t0 = audit.run_start(lines).collect()[0]["t0"]
     assert t0 == "2026-09-11 10:00:00"
-    rate, left = audit.eta(63, 4, dt.datetime(2026, 9, 11, 10), dt.datetime(2026, 9, 11, 10, 2))
-    assert rate == pytest.approx(2.0) and left == pytest.approx(29.5)
 
 
 def test_summary_lines(spark):
     lines = audit.read_log(spark, fx("backfill.log"))
     prog = audit.load_progress(audit.parse_events(lines), audit.expected_frame(spark))
-    out = audit.summary(prog, dt.datetime(2026, 9, 11, 10), dt.datetime(2026, 9, 11, 10, 2))
-    assert out[0] == "START: 2026-09-11 10:00:00 | files: started=3/63, done=2/63"
-    assert any(line.startswith("  imbalance_prices: started=2/21 done=1/21 rows=123")
-               for line in out)
-    assert out[-1].startswith("  rate ~1.5 files/min")
+    totals = audit.load_totals(audit.parse_events(lines), audit.expected_frame(spark), audit.run_start(lines),
+                               dt.datetime(2026, 9, 11, 10, 2))
+    t = totals.first()
+    # energy_prices, of which no file is expected, counts as begun too
+    assert (t["expected"], t["started"], t["files_per_minute"]) == (63, 4, 2.0)
+    assert t["minutes_left"] == pytest.approx(29.5)
+    out = audit.status_lines(prog, totals)
+    assert any(line.startswith("imbalance_prices: 2 of 21 files begun, 1 finished, 123 rows") for line in out)
+    assert out[-1] == "pace 2.0 files a minute, 30 minutes to go" or out[-1] == "pace 2.0 files a minute, 29 minutes to go"
 
 
 def test_quality_report(spark):

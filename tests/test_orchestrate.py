@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import fx
 from gridmart.plans import orchestrate as O
+from gridmart.operators.quality import DataCheckError
 from gridmart.plans import sync
 from gridmart.schemas import INSTRUMENTS
 
@@ -39,7 +40,9 @@ def test_end_to_end_and_rerun(spark, root):
                       "aggregated_generation": 1}
     assert O.run_entsoe(spark, root) == {k: 0 for k in report}  # nothing changed
     assert O.run_pse(spark, root, start="2026-09-01 00:00:00") == {"zmb": "loaded", "cor": "loaded"}
-    built = O.run_models(spark, root)
+    with pytest.raises(DataCheckError, match="CZ"):  # a key of dim_area occurs twice
+        O.run_models(spark, root)
+    built = O.run_models(spark, root, checks=False)
     assert set(built) == {"dim_area", "fct_energy_prices", "fct_entsoe_imbalance_prices",
                           "fct_entsoe_generation_forecasts", "fct_entsoe_aggregated_generation",
                           "fct_pse_zmb", "fct_pse_cor"}
@@ -55,19 +58,19 @@ def test_end_to_end_and_rerun(spark, root):
     from gridmart.operators.quality import check_unique
     assert [r["area_map_code"] for r in check_unique(read("dim_area"), "area_map_code").collect()] == ["CZ"]
     # models again: the merge marts are idempotent
-    O.run_models(spark, root)
+    O.run_models(spark, root, checks=False)
     assert read("fct_entsoe_generation_forecasts").count() == 3
     # a forced reload appends a new load; staging keeps one row per grain
     O.run_entsoe(spark, root, instruments=["imbalance_prices"], force=True)
     assert spark.read.parquet(f"{root}/raw/imbalance_prices").select("load_id").distinct().count() == 2
-    O.run_models(spark, root)
+    O.run_models(spark, root, checks=False)
     assert read("fct_entsoe_imbalance_prices").count() == 2
     # incremental model runs give the same marts as full runs
     full = {m: sorted(map(tuple, read(m).collect()), key=str) for m in built}
-    O.run_models(spark, root, incremental=True)          # first run: everything is new
+    O.run_models(spark, root, checks=False, incremental=True)          # first run: everything is new
     O.run_entsoe(spark, root, instruments=["energy_prices"], force=True)
-    O.run_models(spark, root, incremental=True)          # only the reloaded prices
-    assert O.run_models(spark, root, incremental=True) == {}  # nothing new
+    O.run_models(spark, root, checks=False, incremental=True)          # only the reloaded prices
+    assert O.run_models(spark, root, checks=False, incremental=True) == {}  # nothing new
     for m in built:
         assert sorted(map(tuple, read(m).collect()), key=str) == full[m], m
     # publish to a replica and dry-run plan
@@ -121,3 +124,47 @@ def test_reject_mode_keeps_good_rows(spark, root):
     rej = spark.read.parquet(f"{root}/rejects/energy_prices").collect()
     assert [(r["field"], r["reason"]) for r in rej] == [("datetime", "non-UTC offset")]
     assert spark.read.parquet(f"{root}/raw/energy_prices").count() == 7
+
+
+def test_unlanded_files_are_reported_or_fail(spark, root):
+    with open(f"{root}/manifest/Export_log.csv", "a") as fh:
+        fh.write("2026_10_EnergyPrices_12.1.D_r3.1\t2026\t10\t2026-11-01T00:00:00\t\n")
+    with pytest.raises(O.UnlandedFilesError, match="2026_10_"):
+        O.run_entsoe(spark, root, instruments=["energy_prices"],
+                     selected_files=["2026_10_EnergyPrices_12.1.D_r3.1.csv", "2026_09_EnergyPrices_12.1.D_r3.1.csv"])
+    assert O.run_entsoe(spark, root, instruments=["energy_prices"]) == {"energy_prices": 3, "energy_prices:unlanded": 1}
+
+
+def test_ingest_precedence_and_chain(spark, root):
+    report = O.run_ingest(spark, root, sources=["pse"], date="2026-09-08", from_date="2026-01-01")
+    assert report == {"pse": {"zmb": "loaded", "cor": "loaded"}}
+    days = spark.read.parquet(f"{root}/raw_pse/zmb").select("business_date").distinct().collect()
+    assert [str(r[0])[:10] for r in days] == ["2026-09-08"]
+    with pytest.raises(ValueError, match="nope"):
+        O.run_ingest(spark, root, sources=["nope"])
+    done = O.run_all(spark, root, f"{root}/replica", checks=False, sources=["entsoe"])
+    assert {t for t, *_ in done["sync"]} >= {"fct_energy_prices", "dim_area", "fct_pse_zmb"}
+
+
+def test_publication_increment_reads_new_pages_only(spark, root):
+    import datetime as dt
+    now = dt.datetime(2026, 9, 2, tzinfo=dt.timezone.utc)
+    assert O.run_pse(spark, root) == {"zmb": "no baseline", "cor": "no baseline"}
+    O.run_ingest(spark, root, sources=["pse"], backfill_days=30, now=now)
+    first = spark.read.parquet(f"{root}/raw_pse/zmb").count()
+    assert first == 9 and O.run_pse(spark, root) == {"zmb": "nothing new", "cor": "nothing new"}
+
+
+def test_renamed_area_goes_in_an_incremental_run(spark, root):
+    O.run_entsoe(spark, root, instruments=["energy_prices"])
+    O.run_models(spark, root, checks=False, incremental=True)
+    path = f"{root}/landing/{INSTRUMENTS['energy_prices'].folder}/2026_09_03_EnergyPrices_12.1.D_r3.1.csv"
+    text = open(path).read()
+    old = next(r["area_name"] for r in spark.read.parquet(f"{root}/marts/dim_area").collect()
+               if r["area_map_code"] == "CZ" and r["area_name"] in text)
+    open(path, "w").write(text.replace(old, "Renamed"))
+    O.run_entsoe(spark, root, instruments=["energy_prices"], force=True)
+    O.run_models(spark, root, checks=False, incremental=True)
+    part = {tuple(r) for r in spark.read.parquet(f"{root}/marts/dim_area").collect()}
+    O.run_models(spark, root, checks=False)
+    assert part == {tuple(r) for r in spark.read.parquet(f"{root}/marts/dim_area").collect()}

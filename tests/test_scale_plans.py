@@ -7,12 +7,13 @@ dimensions broadcast only under a proven bound, and filters reach the scan.
 import io
 from contextlib import redirect_stdout
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
 from gridmart.operators import manifest, quality
 from gridmart.operators.dedupe import dedupe_latest
-from gridmart.operators.joins import broadcast_if_small, join_dim
+from gridmart.operators.joins import join_dim
 from gridmart.plans import sync, testbed
 
 
@@ -49,21 +50,42 @@ def test_grouped_outputs_aggregate_partially(spark):
     assert p2.count("HashAggregate") >= 2
 
 
-def test_broadcast_only_under_the_bound(spark):
+def test_small_dimension_is_broadcast_without_a_job(spark):
     small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
     fact = spark.range(100000).select((F.col("id") % 1000).alias("k"))
-    assert "BroadcastHashJoin" in plan(join_dim(fact, small, "k", max_dim_rows=100))
+    assert "BroadcastHashJoin" in plan(join_dim(fact, small, "k"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "SortMergeJoin" in plan(join_dim(fact, big, "k", max_dim_rows=100))
-        assert broadcast_if_small(big, 100) is big
+        assert "SortMergeJoin" in plan(join_dim(fact, small, "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_upsert_reads_only_touched_partitions(spark, tmp):
+    from gridmart.operators.upsert import touched_partitions, upsert_table
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("d")
+    upsert_table(spark, f"{tmp}/t", spark.range(3000).select("id", F.lit(1).alias("v"), day), ["id"], "d")
+    target = spark.read.parquet(f"{tmp}/t")
+    one = spark.range(0, 3000, 30).select("id", F.lit(2).alias("v"), day)
+    read = touched_partitions(target, one, "d")
+    assert len({f.rsplit("/", 2)[1] for f in read.select("*").inputFiles()}) == 30  # the relation lists all
+    p = plan(read)
+    assert "PartitionFilters: [isnotnull(d" in p or "PartitionFilters: [(d" in p or "PartitionFilters: [d" in p
+    assert "Exchange" not in p
+    out = upsert_table(spark, f"{tmp}/t", one, ["id"], "d")
+    assert out.count() == 3000 and out.where("v = 2").count() == 100
+
+
+def test_upsert_rejects_repeated_keys(spark, tmp):
+    from gridmart.operators.upsert import upsert_table
+    twice = spark.createDataFrame([(1, 2, "x"), (1, 3, "x")], "id int, v int, d string")
+    with pytest.raises(Exception, match="more than once"):
+        upsert_table(spark, f"{tmp}/t", twice, ["id"], "d")
+
+
 def test_window_bound_is_pushed_into_the_scan(spark):
     local, remote = testbed._events_replica(spark, SF)
     p = plan(sync.replace_window(remote, local, "ts", 2))
@@ -73,20 +95,3 @@ def test_window_bound_is_pushed_into_the_scan(spark):
 def test_only_needed_columns_are_read(spark):
     p = plan(quality.check_unique(testbed._t(spark, SF, "lineitem"), ["l_orderkey", "l_linenumber"]))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in p
-
-
-def test_checked_broadcast_side_is_computed_once(spark):
-    # a derived dimension (DISTINCT over a fact): the size check fills the
-    # cache and the broadcast build reads it instead of recomputing the fact
-    fact = spark.range(50000).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
-    dim = fact.select("k").distinct().withColumn("name", F.concat(F.lit("k"), F.col("k")))
-    small = broadcast_if_small(dim, 100)
-    try:
-        assert small.storageLevel.useMemory or small.storageLevel.useDisk
-        p = plan(fact.join(small, "k", "left"))
-        assert "BroadcastHashJoin" in p and "InMemoryRelation" in p
-        assert fact.join(small, "k", "left").count() == 50000
-    finally:
-        small.unpersist()
-    big = broadcast_if_small(dim, 10)  # over the bound: not kept in the cache
-    assert not (big.storageLevel.useMemory or big.storageLevel.useDisk)

@@ -8,7 +8,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from gridmart.functions.timeutc import UTC_TEXT_SHAPE, utc_parts
+from gridmart.functions.timeutc import UTC_TEXT_SHAPE, utc_reject_reason, utc_value
 
 SHAPE = re.compile(UTC_TEXT_SHAPE)
 
@@ -56,8 +56,8 @@ def generate(n, seed=7):
 def test_parse_agrees_with_rules(spark):
     texts = generate(3000)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
-    got = {r["i"]: (r["p"]["reason"], r["p"]["naive"])
-           for r in df.select("i", utc_parts(F.col("s")).alias("p")).collect()}
+    got = {r["i"]: (r["reason"], r["value"]) for r in df.select(
+        "i", utc_reject_reason("s").alias("reason"), utc_value("s").alias("value")).collect()}
     bad = []
     for i, t in enumerate(texts):
         want = model(t)
