@@ -56,8 +56,8 @@ SHORT, LONG = 32, 4096
 #: Hash ranges in which the elements of a set are counted.
 RANGES = 64
 _SKETCH_CHUNK = 1 << 12
-#: Sets of a block in verification; a pair of blocks is one task's group.
-BLOCK = 128
+#: Sets of a block when range counts, and when whole sets are compared; a pair of blocks is one group.
+BLOCK, SET_BLOCK = 128, 256
 #: Size classes of the histogram: sizes within 5 % are one class.
 _CLASS = 1.05
 
@@ -332,10 +332,10 @@ def candidate_ties(texts: DataFrame, classes: DataFrame, shingle: int, percent:
         _possible(percent), "u long, v long").unionByName(middle).unionByName(endless)
 
 
-def block_pairs(candidates: DataFrame) -> DataFrame:
+def block_pairs(candidates: DataFrame, block: int) -> DataFrame:
     """Each node with every pair of blocks (a, b) of its component that it is compared in."""
     sizes = candidates.groupBy(F.col("component").alias("of")).agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     return (candidates.join(sizes, F.col("component") == F.col("of"))
             .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -346,7 +346,7 @@ def block_pairs(candidates: DataFrame) -> DataFrame:
 def possible_edges(classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Edges (u, v) that connect the nodes of each group (node, component) which may link."""
     of = classes.select(F.col("class").alias("node"), "n_shingles", "ranges")
-    return block_pairs(groups).join(of, "node").groupBy("component", "a", "b").applyInPandas(
+    return block_pairs(groups, BLOCK).join(of, "node").groupBy("component", "a", "b").applyInPandas(
         _possible_forest(percent), "u long, v long")
 
 
@@ -355,7 +355,7 @@ def verified_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame,
     chosen = candidates.select("node").join(classes.select(F.col("class").alias("node"), "rep"), "node")
     members = texts.sparkSession.sparkContext.broadcast(member_bitmap(chosen.select(F.col("rep").alias("doc_id"))))
     sets = texts.mapInArrow(_sets_of(shingle, members), "doc_id long, class long, members binary")
-    filled = (block_pairs(candidates).join(chosen, "node")
+    filled = (block_pairs(candidates, SET_BLOCK).join(chosen, "node")
               .join(sets, (F.col("rep") == F.col("doc_id")) & (F.col("node") == F.col("class"))))
     return filled.select("component", "a", "b", "node", "members").groupBy("component", "a", "b").applyInPandas(
         _verify(percent), "u long, v long")

@@ -77,8 +77,8 @@ def test_jaccard_odd_rows(odd, nothing):
 
 @pytest.mark.parametrize("long", [4096, 16])
 def test_jaccard_large_group_is_split(spark, monkeypatch, long):
-    monkeypatch.setattr(size_aware_join, "BLOCK", 8)
-    monkeypatch.setattr(size_aware_join, "SHORT", 4)
+    for name, value in (("BLOCK", 8), ("SET_BLOCK", 16), ("SHORT", 4)):
+        monkeypatch.setattr(size_aware_join, name, value)
     monkeypatch.setattr(size_aware_join, "LONG", long)
     rng = random.Random(8)
     base = " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(120))
