@@ -11,7 +11,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
@@ -52,6 +54,24 @@ def apply_settings(spark: SparkSession) -> None:
             spark.conf.set(key, value)
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
         raise RuntimeError("the session time zone must be UTC")
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for an application.
+
+    Functions that run in tasks import it there.  Nothing is sent when it was
+    already shipped as an archive (``--py-files``).
+    """
+    sc, package = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(sc, "_gridmart_shipped", False) or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="gridmart-code-")) / "gridmart-package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._gridmart_shipped = True
 
 
 def checkpoint_root(spark: SparkSession) -> str:
