@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import (as_bytes, documents, packed, scrambled, slices, staged, table, tasks, unpacked,
@@ -229,7 +229,7 @@ def _out(rows: list[tuple]) -> pa.RecordBatch:
 
 def _edge_matches(rows):
     import pandas as pd
-    rows = rows.sort_values("edge").rename(columns={"start": "place"}).drop_duplicates("edge")
+    rows = rows.sort_values("edge").rename(columns={"start": "place"})
     found = neighbour_matches(pa.Table.from_pandas(
         rows[["gram", "after", "before", "doc_id", "place"]], preserve_index=False))
     return pd.DataFrame(found, columns=["doc_id", "start", "stop"], dtype="int64")
@@ -240,29 +240,31 @@ def spans_in_order(suffixes: DataFrame, context: str) -> DataFrame:
     order = ["gram", context, "doc_id", "place"]
     found = staged(suffixes.repartitionByRange(tasks(suffixes), *order).sortWithinPartitions(*order)
                    .mapInArrow(_neighbours, _OUT), "neighbours")
-    # The first and last documents of each partition, a few short runs of rows each.
-    across = found.where("edge IS NOT NULL").withColumn("all", F.lit(0)).groupBy("all").applyInPandas(
-        _edge_matches, SPANS)
+    # The last documents of each partition meet the first ones of the next that has rows.
+    edges = found.where("edge IS NOT NULL").withColumn("part", F.shiftright("edge", 33))
+    order = edges.select("part").distinct().withColumn("nth", F.row_number().over(Window.orderBy("part")))
+    at_end = F.col("edge").bitwiseAND(1 << 32) != 0
+    across = (edges.join(order, "part").withColumn("boundary", F.when(at_end, F.col("nth")).otherwise(F.col("nth") - 1))
+              .groupBy("boundary").applyInPandas(_edge_matches, SPANS))
     return found.where("edge IS NULL").select("doc_id", "start", "stop").unionByName(across)
 
 
 def merged(spans: DataFrame) -> DataFrame:
     """Overlapping or touching spans of a document as one (at most as many as its minimisers)."""
     def merge(batches):
-        for batch in batches:
-            rows = []
-            for doc, own in zip(batch["doc_id"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-                start = stop = None
-                for span in own:
-                    if stop is not None and span["start"] <= stop:
-                        stop = max(stop, span["stop"])
-                        continue
-                    if stop is not None:
-                        rows.append((doc, start, stop))
-                    start, stop = span["start"], span["stop"]
-                rows.append((doc, start, stop))
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "stop"])
+        for batch in slices(batches, 200):
+            column = batch["spans"]
+            owner = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+            start, stop = (x.to_numpy() for x in column.flatten().flatten())
+            # Sorted by start within a document; a span opens where none before it reaches.
+            shift = owner * (int(stop.max(initial=0)) + 1)
+            reach = np.maximum.accumulate(stop + shift)
+            opens = np.concatenate([[True], (start + shift)[1:] > reach[:-1]]) | np.concatenate([[True], owner[1:] != owner[:-1]])
+            first = np.flatnonzero(opens)
+            last = np.append(first[1:], len(start)) - 1
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].take(pa.array(owner[first])), pa.array(start[first]), pa.array((reach - shift)[last])],
+                names=["doc_id", "start", "stop"])
 
     sets = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     return sets.mapInArrow(merge, SPANS)
