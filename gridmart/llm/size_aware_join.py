@@ -17,7 +17,7 @@ copies cost one set.  Between the classes:
   histogram of sizes, are least.
 
 Sets that meet in a list or subset of up to ``SHORT`` sets are paired, and pairs
-go whose sizes, or numbers of elements in each of 64 hash ranges, rule the
+go whose sizes, or numbers of elements in each of 256 hash ranges, rule the
 similarity out.  Sets of a longer list, up to ``LONG``, are compared in the same
 way within a task, which gives as many ties as sets.  A list beyond that ties
 all its sets to its least one, which is linear however long it is.  The components of these ties are narrowed by the
@@ -54,7 +54,7 @@ SKETCH = 1 << 18
 #: longer lists are tied to their least set.
 SHORT, LONG = 32, 4096
 #: Hash ranges in which the elements of a set are counted.
-RANGES = 64
+RANGES = 256
 _SKETCH_CHUNK = 1 << 12
 #: Sets of a block when range counts, and when whole sets are compared; a pair of blocks is one group.
 BLOCK, SET_BLOCK = 128, 256
@@ -80,9 +80,9 @@ def class_of(own: np.ndarray) -> int:
 
 
 def range_counts(own: np.ndarray) -> bytes:
-    """Elements of a set in each hash range (16 bits each)."""
+    """Elements of a set in each hash range (8 bits each)."""
     ranges = ((own >> np.uint64(20)) % np.uint64(RANGES)).astype(np.int64)
-    return np.minimum(np.bincount(ranges, minlength=RANGES), 65535).astype(np.uint16).tobytes()
+    return np.minimum(np.bincount(ranges, minlength=RANGES), 255).astype(np.uint8).tobytes()
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -189,13 +189,13 @@ def _keys(size: int, percent: int, boundary: int, sketches):
 
 def may_link(n_u, n_v, ranges_u: np.ndarray, ranges_v: np.ndarray, percent: int) -> np.ndarray:
     """Whether sizes and range counts leave a link open: an overlap is at most the sum of the lesser counts."""
-    most = np.minimum(ranges_u, ranges_v).sum(axis=-1)
-    unsure = (ranges_u.max(axis=-1) == 65535) | (ranges_v.max(axis=-1) == 65535)  # counts that were cut
+    most = np.minimum(ranges_u, ranges_v).sum(axis=-1, dtype=np.int64)
+    unsure = (ranges_u.max(axis=-1) == 255) | (ranges_v.max(axis=-1) == 255)  # counts that were cut
     return unsure | (most * 100 >= (n_u + n_v - most) * percent)
 
 
 def _ranges(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, RANGES).astype(np.int32)
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, RANGES)
 
 
 def _possible(percent: int):
