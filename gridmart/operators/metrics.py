@@ -111,7 +111,7 @@ def metric_query(fact: DataFrame, model: str | Model, dims: Sequence = (),
             group_cols.append(F.col(d))
     dim_names = [d for d in dims if isinstance(d, str)]
     if (any(x.kind == "sum" for x in chosen) and "resolution_code" in df.columns
-            and "resolution_code" not in dim_names):
+            and "resolution_code" not in dim_names and "resolution_code" not in str(filters)):
         warnings.warn("summing megawatts across mixed resolutions: group or filter "
                       "resolution_code", stacklevel=2)
     aggs = [metric_column(x, round_to) for x in chosen]

@@ -72,7 +72,7 @@ def split_rejects(df: DataFrame, ts_cols: dict, source: str = "gridmart"):
     return good, rejects
 
 
-# Declared tests of the published models: (model, column, test).
+# The declared tests of the published models, as (model, column, test).
 DECLARED_TESTS = [
     ("dim_area", "area_map_code", "unique"),
     ("dim_area", "area_map_code", "not_null"),

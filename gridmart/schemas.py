@@ -55,6 +55,7 @@ GENERATION_HEADERS = {
     "ActualConsumption[MW]": "actual_consumption_mw",
 }
 
+# The measure columns of each table.
 IMBALANCE_MEASURES = [
     "positive_imbalance_price",
     "positive_scarcity_price",
@@ -134,6 +135,7 @@ class Entity:
     grain: tuple = ("dtime_utc", "business_date")
 
 
+# The entities and their endpoints.
 ENTITIES = {
     "zmb": Entity("zmb", "zmb", tuple(ZMB_MEASURES)),
     "cor": Entity("cor", "cor", tuple(COR_MEASURES)),
@@ -165,6 +167,7 @@ class Published:
     unique_key: tuple = field(default=())
 
 
+# The published tables, their time columns and unique keys.
 PUBLISHED = {
     "dim_area": Published("dim_area", None, "entsoe", ("area_map_code",)),
     "fct_energy_prices": Published(

@@ -65,7 +65,7 @@ def test_summary_lines(spark):
     assert t["minutes_left"] == pytest.approx(29.5)
     out = audit.status_lines(prog, totals)
     assert any(line.startswith("imbalance_prices: 2 of 21 files begun, 1 finished, 123 rows") for line in out)
-    assert out[-1] == "pace 2.0 files a minute, 30 minutes to go" or out[-1] == "pace 2.0 files a minute, 29 minutes to go"
+    assert out[-1] == "pace 2.0 files a minute, 30 minutes to go"
 
 
 def test_quality_report(spark):
