@@ -58,6 +58,8 @@ RANGES = 256
 _SKETCH_CHUNK = 1 << 12
 #: Sets of a block when range counts, and when whole sets are compared; a pair of blocks is one group.
 BLOCK, SET_BLOCK = 128, 256
+#: Elements of all sets of a block of whole sets, on average.
+ELEMENTS = 1 << 19
 #: Size classes of the histogram: sizes within 5 % are one class.
 _CLASS = 1.05
 
@@ -332,15 +334,21 @@ def candidate_ties(texts: DataFrame, classes: DataFrame, shingle: int, percent:
         _possible(percent), "u long, v long").unionByName(middle).unionByName(endless)
 
 
-def block_pairs(candidates: DataFrame, block: int) -> DataFrame:
-    """Each node with every pair of blocks (a, b) of its component that it is compared in."""
-    sizes = candidates.groupBy(F.col("component").alias("of")).agg(
-        F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    return (candidates.join(sizes, F.col("component") == F.col("of"))
+def block_pairs(groups: DataFrame, block: int, elements: int | None = None) -> DataFrame:
+    """Each row (node, component, ...) with every pair of blocks (a, b) of its component that it is compared in.
+
+    A block has about ``block`` nodes at most, and sets of about ``elements``
+    elements (column ``n_shingles``) in all.
+    """
+    size = F.count("*") / block
+    if elements:
+        size = F.greatest(size, F.sum("n_shingles") / elements)
+    sizes = groups.groupBy(F.col("component").alias("of")).agg(F.ceil(size).cast("int").alias("blocks"))
+    return (groups.join(sizes, F.col("component") == F.col("of"))
             .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .where("blocks = 1 OR other <> mine")
-            .select("node", "component", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b")))
+            .select(*groups.columns, F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b")))
 
 
 def possible_edges(classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -352,11 +360,11 @@ def possible_edges(classes: DataFrame, groups: DataFrame, percent: int) -> DataF
 
 def verified_links(texts: DataFrame, classes: DataFrame, candidates: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Edges (u, v) of linked classes that join all that are linked within each candidate component."""
-    chosen = candidates.select("node").join(classes.select(F.col("class").alias("node"), "rep"), "node")
+    chosen = candidates.join(classes.select(F.col("class").alias("node"), "rep", "n_shingles"), "node")
     members = texts.sparkSession.sparkContext.broadcast(member_bitmap(chosen.select(F.col("rep").alias("doc_id"))))
     sets = texts.mapInArrow(_sets_of(shingle, members), "doc_id long, class long, members binary")
-    filled = (block_pairs(candidates, SET_BLOCK).join(chosen, "node")
-              .join(sets, (F.col("rep") == F.col("doc_id")) & (F.col("node") == F.col("class"))))
+    filled = block_pairs(chosen, SET_BLOCK, ELEMENTS).join(
+        sets, (F.col("rep") == F.col("doc_id")) & (F.col("node") == F.col("class")))
     return filled.select("component", "a", "b", "node", "members").groupBy("component", "a", "b").applyInPandas(
         _verify(percent), "u long, v long")
 
