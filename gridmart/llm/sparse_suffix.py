@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import (as_bytes, documents, packed, scrambled, slices, staged, table, tasks, unpacked,
@@ -242,9 +242,11 @@ def spans_in_order(suffixes: DataFrame, context: str) -> DataFrame:
                    .mapInArrow(_neighbours, _OUT), "neighbours")
     # The last documents of each partition meet the first ones of the next that has rows.
     edges = found.where("edge IS NOT NULL").withColumn("part", F.shiftright("edge", 33))
-    order = edges.select("part").distinct().withColumn("nth", F.row_number().over(Window.orderBy("part")))
+    parts = sorted(r["part"] for r in edges.select("part").distinct().collect())  # partitions of the sort
+    nth = [F.lit(x) for k, part in enumerate(parts) for x in (part, k + 1)]
+    place = F.create_map(*nth)[F.col("part")] if nth else F.lit(0)
     at_end = F.col("edge").bitwiseAND(1 << 32) != 0
-    across = (edges.join(order, "part").withColumn("boundary", F.when(at_end, F.col("nth")).otherwise(F.col("nth") - 1))
+    across = (edges.withColumn("boundary", F.when(at_end, place).otherwise(place - 1))
               .groupBy("boundary").applyInPandas(_edge_matches, SPANS))
     return found.where("edge IS NULL").select("doc_id", "start", "stop").unionByName(across)
 
