@@ -20,9 +20,8 @@ Sets that meet in a list or subset of up to ``SHORT`` sets are paired, and pairs
 go whose sizes, or numbers of elements in each of 256 hash ranges, rule the
 similarity out.  Sets of a longer list, up to ``LONG``, are compared in the same
 way within a task, which gives as many ties as sets.  A list beyond that ties
-all its sets to its least one, which is linear however long it is.  The components of these ties are narrowed by the
-same range counts, all of a component's sets against each other, and what is
-still connected is compared set by set:
+all its sets to its least one, which is linear however long it is; the components of such lists are compared in blocks
+in the same way.  The components of all ties are then compared set by set:
 within a task over blocks of bounded size (each pair of blocks is a task), each
 set is expanded once over the sets not reached yet, so a group of thousands of
 near copies yields as many links as sets, not as pairs.  Verification is exact
@@ -330,8 +329,11 @@ def candidate_ties(texts: DataFrame, classes: DataFrame, shingle: int, percent:
              .select("u", "v", "n_u", "n_v").distinct())
     for x in "uv":
         pairs = pairs.join(classes.select(F.col("class").alias(x), F.col("ranges").alias(f"ranges_{x}")), x)
-    return pairs.select("u", "v", "n_u", "n_v", "ranges_u", "ranges_v").mapInArrow(
-        _possible(percent), "u long, v long").unionByName(middle).unionByName(endless)
+    possible = pairs.select("u", "v", "n_u", "n_v", "ranges_u", "ranges_v").mapInArrow(
+        _possible(percent), "u long, v long").unionByName(middle)
+    if endless.isEmpty():
+        return possible
+    return possible.unionByName(possible_edges(classes, staged(components(endless), "endless"), percent))
 
 
 def block_pairs(groups: DataFrame, block: int, elements: int | None = None) -> DataFrame:
@@ -383,8 +385,7 @@ def jaccard_groups(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.min("n_shingles").alias("least"), F.count("*").alias("n")).collect()}  # some hundred size classes
     boundary = cost_boundary(sizes, percent)
     ties = candidate_ties(texts, classes, shingle, percent, boundary, rarity(profiles))
-    tied = staged(components(ties), "candidates")
-    candidates = staged(components(possible_edges(classes, tied, percent)), "candidates")
+    candidates = staged(components(ties), "candidates")
     links = verified_links(texts, classes, candidates, shingle, percent)
     # Rows that repeat an id are one document: the classes of its texts are joined.
     repeated = full.groupBy("doc_id").agg(F.min("class").alias("v"), F.max("class").alias("u")).where("u <> v")
