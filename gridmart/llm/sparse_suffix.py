@@ -163,6 +163,16 @@ def _matched(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
 
 
+def united(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans sorted by owner (numbered) and start: where each united span begins in them, and its end."""
+    shift = owner * (int(stop.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(stop + shift)
+    # A span opens with its owner, or where none before it reaches.
+    first = np.flatnonzero(np.concatenate([[True], ((start + shift)[1:] > reach[:-1]) | (owner[1:] != owner[:-1])]))
+    last = np.append(first[1:], len(start)) - 1
+    return first, (reach - shift)[last]
+
+
 def neighbour_matches(rows: pa.Table) -> np.ndarray:
     """Rows doc_id, start, stop where sorted neighbours of different documents match long enough."""
     n = rows.num_rows
@@ -185,7 +195,13 @@ def neighbour_matches(rows: pa.Table) -> np.ndarray:
     good = right + left >= WORDS
     i, j, right, left = i[good], j[good], right[good], left[good]
     both = [np.stack([doc[x], place[x] - left, place[x] + right], axis=1) for x in (i, j)]
-    return np.unique(np.concatenate(both), axis=0)
+    spans = np.concatenate(both)
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    if not len(spans):
+        return spans
+    owner = np.cumsum(np.concatenate([[0], spans[1:, 0] != spans[:-1, 0]]))
+    first, stop = united(owner, spans[:, 1], spans[:, 2])
+    return np.stack([spans[first, 0], spans[first, 1], stop], axis=1)
 
 
 def _neighbours(batches):
@@ -258,14 +274,9 @@ def merged(spans: DataFrame) -> DataFrame:
             column = batch["spans"]
             owner = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
             start, stop = (x.to_numpy() for x in column.flatten().flatten())
-            # Sorted by start within a document; a span opens where none before it reaches.
-            shift = owner * (int(stop.max(initial=0)) + 1)
-            reach = np.maximum.accumulate(stop + shift)
-            opens = np.concatenate([[True], (start + shift)[1:] > reach[:-1]]) | np.concatenate([[True], owner[1:] != owner[:-1]])
-            first = np.flatnonzero(opens)
-            last = np.append(first[1:], len(start)) - 1
+            first, end = united(owner, start, stop)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(pa.array(owner[first])), pa.array(start[first]), pa.array((reach - shift)[last])],
+                [batch["doc_id"].take(pa.array(owner[first])), pa.array(start[first]), pa.array(end)],
                 names=["doc_id", "start", "stop"])
 
     sets = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
