@@ -11,6 +11,14 @@ the cluster, by their gram and then by the words that follow; neighbours in
 that order which lie in different documents are compared, and matches extended
 to the right and to the left.  The same is done in the order of the words that
 precede, read backwards, which finds partners that the first order separates.
+
+What both orders may have missed is found by equality.  The nearest rows of
+other documents share the most words that any has, on the right in one order and
+on the left in the other; so they tell which windows of ``WORDS`` words around a
+suffix can occur elsewhere at all.  Those of them that no match has found yet
+are grouped by a hash of the whole window, together with one row for each chain
+of matches, whatever stands between them in the orders.
+
 Matches of ``WORDS`` words or more mark their words in both documents; marks of
 a document are merged.  Sorting is by range, and rows of one suffix are ordered
 by document, so a passage with very many places is spread over many tasks.
@@ -43,6 +51,10 @@ _SLOT_CHUNK = 1 << 16
 SUFFIX = "gram long, after binary, before binary, doc_id long, place long"
 #: Documents on either side in the sorted order that a suffix is compared with.
 NEAR = 4
+#: Windows around a suffix, as bits by the words they have on its left: all, and without the first and the last one,
+#: which the nearest rows in one of the orders share if any row does.
+_ALL = (1 << WORDS - GRAM + 1) - 1
+_INNER = _ALL & ~1 & ~(1 << WORDS - GRAM)
 SPANS = "doc_id long, start long, stop long"
 
 
@@ -173,15 +185,25 @@ def united(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.n
     return first, (reach - shift)[last]
 
 
-def neighbour_matches(rows: pa.Table) -> np.ndarray:
-    """Rows doc_id, start, stop where sorted neighbours of different documents match long enough."""
+def _windows(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The bits from ``low`` to ``high``, both in it (none where low is above high)."""
+    one = np.int64(1)
+    return np.where(low <= high, (one << (high + 1)) - (one << np.minimum(low, high + 1)), 0)
+
+
+def neighbour_matches(rows: pa.Table, order: str = "") -> tuple[np.ndarray, np.ndarray]:
+    """Rows doc_id, start, stop where sorted neighbours of different documents match long enough.
+
+    Then, for the name of an order, rows doc_id, place, could, found, earlier: windows that the nearest rows do not
+    rule out, those found, and those found with a row before.  Rows that need no more are left out.
+    """
     n = rows.num_rows
     gram, doc, place = (rows[c].to_numpy() for c in ("gram", "doc_id", "place"))
     after = np.frombuffer(b"".join(rows["after"].to_pylist()), dtype=">u4").reshape(n, WORDS)
     before = np.frombuffer(b"".join(rows["before"].to_pylist()), dtype=">u4").reshape(n, WORDS - GRAM)
     begins = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])]))
     run = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, n)))
-    mine, other = [], []
+    mine, other, sizes = [], [], []
     for near in range(1, NEAR + 1):
         # The last row of the near-th run before, and the first of the near-th after.
         for partner, ok in ((begins[np.maximum(run - near + 1, 0)] - 1, run >= near),
@@ -190,29 +212,55 @@ def neighbour_matches(rows: pa.Table) -> np.ndarray:
             at = at[(gram[at] == gram[partner[at]]) & (doc[at] != doc[partner[at]])]
             mine.append(at)
             other.append(partner[at])
+            sizes.append(len(at))
     i, j = np.concatenate(mine), np.concatenate(other)
     right, left = _matched(after[i], after[j]), _matched(before[i], before[j])
     good = right + left >= WORDS
+    still = np.zeros((0, 5), dtype=np.int64)
+    if order:
+        could, found, earlier = (np.zeros(n, dtype=np.int64) for _ in range(3))
+        near = slice(0, sizes[0] + sizes[1])
+        np.bitwise_or.at(could, i[near], _windows(WORDS - right[near], np.full_like(right[near], WORDS - GRAM))
+                         if order == "after" else _windows(np.zeros_like(left[near]), left[near]))
+        bits = _windows(WORDS - right[good], left[good])
+        np.bitwise_or.at(found, i[good], bits)
+        np.bitwise_or.at(found, j[good], bits)
+        np.bitwise_or.at(earlier, np.maximum(i, j)[good], bits)
+        could &= _INNER
+        if order == "after":
+            could &= ~earlier
+        at = np.flatnonzero(could)
+        still = np.stack([x[at] for x in (doc, place, could, found, earlier)], axis=1)
     i, j, right, left = i[good], j[good], right[good], left[good]
     both = [np.stack([doc[x], place[x] - left, place[x] + right], axis=1) for x in (i, j)]
     spans = np.concatenate(both)
     spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
     if not len(spans):
-        return spans
+        return spans, still
     owner = np.cumsum(np.concatenate([[0], spans[1:, 0] != spans[:-1, 0]]))
     first, stop = united(owner, spans[:, 1], spans[:, 2])
-    return np.stack([spans[first, 0], spans[first, 1], stop], axis=1)
+    return np.stack([spans[first, 0], spans[first, 1], stop], axis=1), still
+
+
+def _neighbours(order: str):
+    """Of a sorted partition spans, and suffixes with windows to look for; its first and last documents go out as edges."""
+    def run(batches):
+        yield from _partition(batches, order)
+    return run
 
 
-def _neighbours(batches):
-    """Spans within a sorted partition; the rows of its first and last documents also go out, as its edges."""
+def _partition(batches, order: str):
     part, held, edges = TaskContext.get().partitionId(), None, []
 
     def spans(rows: pa.Table) -> pa.RecordBatch:
-        found = neighbour_matches(rows)
-        n, kinds = len(found), [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
-        return pa.RecordBatch.from_arrays([*(pa.array(found[:, k]) for k in range(3)), *(pa.nulls(n, k) for k in kinds)],
-                                          names=[c.split()[0] for c in _OUT.split(", ")])
+        found, still = neighbour_matches(rows, order)
+        n, m = len(found), len(still)
+        columns = [np.concatenate([found[:, 0], still[:, 0]]), np.concatenate([found[:, 1], still[:, 1]])]
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(c) for c in columns), pa.array([*found[:, 2].tolist(), *[None] * m], pa.int64()),
+             *(pa.nulls(n + m, k) for k in (pa.int64(), pa.binary(), pa.binary(), pa.int64())),
+             *(pa.array([*[None] * n, *still[:, k].tolist()], pa.int64()) for k in (2, 3, 4))],
+            names=[c.split()[0] for c in _OUT.split(", ")])
 
     first_done = False
     for batch in slices(batches, 2000):
@@ -229,15 +277,16 @@ def _neighbours(batches):
         edges.append(held)
         for k, rows in enumerate(edges):
             kept = rows.to_pylist()
-            yield _out([(r["doc_id"], r["place"], None, r["gram"], r["after"], r["before"], (part << 33) + (k << 32) + n)
+            yield _out([(r["doc_id"], r["place"], None, r["gram"], r["after"], r["before"], (part << 33) + (k << 32) + n,
+                         _ALL, 0, 0)
                         for n, r in enumerate(kept)])
 
 
-_OUT = "doc_id long, start long, stop long, gram long, after binary, before binary, edge long"
+_OUT = "doc_id long, start long, stop long, gram long, after binary, before binary, edge long, could long, found long, earlier long"
 
 
 def _out(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
     columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                                       names=[c.split()[0] for c in _OUT.split(", ")])
@@ -246,16 +295,19 @@ def _out(rows: list[tuple]) -> pa.RecordBatch:
 def _edge_matches(rows):
     import pandas as pd
     rows = rows.sort_values("edge").rename(columns={"start": "place"})
-    found = neighbour_matches(pa.Table.from_pandas(
+    found, _ = neighbour_matches(pa.Table.from_pandas(
         rows[["gram", "after", "before", "doc_id", "place"]], preserve_index=False))
     return pd.DataFrame(found, columns=["doc_id", "start", "stop"], dtype="int64")
 
 
-def spans_in_order(suffixes: DataFrame, context: str) -> DataFrame:
-    """Spans from neighbours in the order of gram and one of the contexts."""
+def spans_in_order(suffixes: DataFrame, context: str) -> tuple[DataFrame, DataFrame]:
+    """Spans from neighbours in the order of gram and one of the contexts, and what they leave open of each suffix.
+
+    At the edges of partitions, where the nearest row can be far away, every window is open.
+    """
     order = ["gram", context, "doc_id", "place"]
     found = staged(suffixes.repartitionByRange(tasks(suffixes), *order).sortWithinPartitions(*order)
-                   .mapInArrow(_neighbours, _OUT), "neighbours")
+                   .mapInArrow(_neighbours(context), _OUT), "neighbours")
     # The last documents of each partition meet the first ones of the next that has rows.
     edges = found.where("edge IS NOT NULL").withColumn("part", F.shiftright("edge", 33))
     parts = sorted(r["part"] for r in edges.select("part").distinct().collect())  # partitions of the sort
@@ -264,7 +316,52 @@ def spans_in_order(suffixes: DataFrame, context: str) -> DataFrame:
     at_end = F.col("edge").bitwiseAND(1 << 32) != 0
     across = (edges.withColumn("boundary", F.when(at_end, place).otherwise(place - 1))
               .groupBy("boundary").applyInPandas(_edge_matches, SPANS))
-    return found.where("edge IS NULL").select("doc_id", "start", "stop").unionByName(across)
+    still = found.where("could IS NOT NULL").select("doc_id", F.col("start").alias("place"), "could", "found", "earlier")
+    return found.where("stop IS NOT NULL").select("doc_id", "start", "stop").unionByName(across), still
+
+
+def _window_hashes(batches):
+    """Rows hash, doc_id, start, found of the windows in ``bits`` of each suffix."""
+    with np.errstate(over="ignore"):
+        odd = np.uint64(0x9E3779B97F4A7C15)
+        powers = np.multiply.accumulate(np.append(np.uint64(1), np.full(2 * WORDS, odd)))
+    lefts = np.arange(WORDS - GRAM + 1)
+    for batch in slices(batches, 2000):
+        n = batch.num_rows
+        after = np.frombuffer(b"".join(batch["after"].to_pylist()), dtype=">u4").reshape(n, WORDS)
+        before = np.frombuffer(b"".join(batch["before"].to_pylist()), dtype=">u4").reshape(n, WORDS - GRAM)
+        words = np.concatenate([before[:, ::-1], after], axis=1).astype(np.uint64)
+        bits, known, doc, place = (batch[c].to_numpy() for c in ("bits", "found", "doc_id", "place"))
+        sums = np.zeros((n, words.shape[1] + 1), dtype=np.uint64)
+        ends = np.cumsum(np.concatenate([np.zeros((n, 1), np.int64), words == 0], axis=1), axis=1)
+        with np.errstate(over="ignore"):
+            np.cumsum(scrambled(words) * powers[:words.shape[1]], axis=1, out=sums[:, 1:])
+            first = WORDS - GRAM - lefts
+            value = scrambled((sums[:, first + WORDS] - sums[:, first]) * powers[lefts])  # all as if they began at the last
+        # None that reaches beyond an end of its text.
+        row, left = np.nonzero(((bits[:, None] >> lefts) & 1 == 1) & (ends[:, first + WORDS] == ends[:, first]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(value[row, left].view(np.int64)), pa.array(doc[row]), pa.array(place[row] - left),
+             pa.array(((known[row] >> left) & 1).astype(bool))], names=["hash", "doc_id", "start", "found"])
+
+
+def spans_by_window(suffixes: DataFrame, after: DataFrame, before: DataFrame) -> DataFrame:
+    """Spans of windows that the orders leave open and that another document has too."""
+    none = F.lit(0).cast("long")
+    both = after.withColumn("left", none).withColumnRenamed("could", "right").unionByName(
+        before.select("doc_id", "place", F.col("could").alias("left"), "found", none.alias("earlier"), none.alias("right")))
+    bit = lambda c: F.coalesce(F.bit_or(c), F.lit(0)).alias(c)
+    left, right = F.col("left"), F.col("right")
+    bits = (left.bitwiseAND(right).bitwiseAND(F.bitwise_not("earlier")).bitwiseOR(right.bitwiseAND(1))
+            .bitwiseOR(left.bitwiseAND(1 << WORDS - GRAM)))
+    wanted = (both.groupBy("doc_id", "place").agg(*map(bit, ("left", "right", "found", "earlier")))
+              .select("doc_id", "place", bits.alias("bits"), "found").where("bits <> 0"))
+    windows = staged(suffixes.select("doc_id", "place", "after", "before").join(wanted, ["doc_id", "place"])
+                     .mapInArrow(_window_hashes, "hash long, doc_id long, start long, found boolean"), "windows")
+    shared = (windows.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.max("found").alias("any"))
+              .where("a <> b OR any").select("hash"))
+    return (windows.where("NOT found").join(shared, "hash", "left_semi")
+            .select("doc_id", "start", (F.col("start") + WORDS).alias("stop")))
 
 
 def merged(spans: DataFrame) -> DataFrame:
@@ -288,7 +385,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     texts = documents(docs).where("doc_id IS NOT NULL").select("doc_id", "text")
     bitmap = docs.sparkSession.sparkContext.broadcast(repeated_grams(texts))
     suffixes = staged(texts.mapInArrow(_contexts(bitmap), SUFFIX), "suffixes")
-    return merged(spans_in_order(suffixes, "after").unionByName(spans_in_order(suffixes, "before")))
+    (right, after), (left, before) = (spans_in_order(suffixes, x) for x in ("after", "before"))
+    return merged(right.unionByName(left).unionByName(spans_by_window(suffixes, after, before)))
 
 
 def op7_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,6 +179,20 @@ def test_passages_odd_rows(odd, nothing):
     assert sparse_suffix.repeated_passages(nothing).count() == 0
 
 
+@pytest.mark.parametrize("slices", [1, 40])
+def test_passage_in_crowds_of_both_its_halves(spark, slices):
+    """Many texts have its first half, many others its second half, two or three the whole."""
+    rng, rows = random.Random(12), []
+    own = lambda n: " ".join(f"o{rng.randrange(10 ** 9)}" for _ in range(n))
+    for line in range(6):
+        x, g, y = (" ".join(f"{c}{line}w{k}" for k in range(20)) for c in "xgy")
+        rows += [f"{own(30)} {x} {g} {own(30)}" for _ in range(60)] + [f"{own(30)} {g} {y} {own(30)}" for _ in range(60)]
+        rows += [f"{own(30)} {x} {g} {y} {own(30)}" for _ in range(2 + line % 2)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(slices, "doc_id")
+    check_passages(df)
+
+
 def test_minimisers_cover_every_window():
     rng = np.random.default_rng(6)
     for n, window in ((43, 43), (100, 43), (300, 7), (20, 1), (5, 9)):
