@@ -8,8 +8,13 @@ diagonals.  Shared q-grams are counted in bands of 2 * (e + 1) diagonals that
 overlap by half, so every such group of diagonals lies whole in a band; bands
 that reach the count are verified by banded alignment of the whole passage.
 
-A benchmark item is one passage, cut every ``LONGEST`` characters if longer.
-Items are taken in groups whose q-grams number at most ``GROUP_GRAMS``, a bound
+A benchmark item is one passage; one longer than ``LONGEST`` characters is every
+window of that length, ``STEP`` characters apart, the last one at its end.  So
+that quotes of a part are found too, the windows of ``PIECE`` characters of longer
+items are passages as well.  The least quote that is found for certain has
+``PIECE`` + ``STEP`` - 1 = 255 letters and digits (about 50 words), within the edits
+of the window in it; of shorter items all is to be quoted.
+Items are taken in groups whose q-grams number about ``GROUP_GRAMS``, a bound
 on what is broadcast; each group is one pass over all documents.
 
 Q-grams are compared by the low bytes of their characters; verification
@@ -18,7 +23,7 @@ compares whole characters.
 Cases: null or empty texts match nothing; a passage too short to share a q-gram
 within its budget has a smaller budget (0 at least), one shorter than q
 characters is not searched for; equal items match each; of several places the
-one with the fewest edits, then the first, is reported; repeated documents are
+one of the longest passage, then with the fewest edits, then the first, is reported; repeated documents are
 reported each; empty tables give no rows; other columns are ignored.
 """
 
@@ -35,6 +40,8 @@ from gridmart.llm.common import documents, table
 Q = 8
 BUDGET = 10
 LONGEST = 512
+PIECE = 192
+STEP = 64
 GROUP_GRAMS = 1 << 21
 #: Zeros between texts, more than any budget, so that no alignment spans two texts.
 GAP = LONGEST // BUDGET + 2
@@ -47,6 +54,15 @@ def allowed_edits(n: int) -> int:
     return max(0, min(n // BUDGET, (n - Q) // Q))
 
 
+def cuts(n: int) -> list[tuple[int, int]]:
+    """(from, to) of the passages of an item of n characters."""
+    out = [(0, n)] if n <= LONGEST else []
+    for size in (LONGEST, PIECE):
+        if n > size:
+            out += [(at, at + size) for at in (*range(0, n - size, STEP), n - size)]
+    return out
+
+
 class Passages:
     """Passages of benchmark items and the index of their q-grams."""
 
@@ -55,11 +71,9 @@ class Passages:
         for item, text in items:
             codes, _ = code_points([text], 0)
             kept = codes[holds("isalnum", codes)]
-            for at in range(0, max(1, len(kept) - Q + 1), LONGEST):
-                part = kept[at:at + LONGEST]
-                if len(part) >= Q:
-                    self.items.append(item)
-                    self.codes.append(part)
+            for at, to in cuts(len(kept)) if len(kept) >= Q else ():
+                self.items.append(item)
+                self.codes.append(kept[at:to])
         lengths = np.array([len(c) for c in self.codes], dtype=np.int64)
         self.edits = np.array([allowed_edits(n) for n in lengths], dtype=np.int64)
         self.least = np.maximum(1, lengths + 1 - Q * (self.edits + 1))
@@ -151,15 +165,16 @@ def found_in(passages: Passages, texts: list[str]):
     for at, to in in_groups(texts):
         codes, starts = code_points(texts[at:to], GAP)
         places = np.flatnonzero(holds("isalnum", codes) | (codes == 0))
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
         for passage, start, stop, edits in passages.matches(codes[places]):
             if stop <= start:
                 continue
             first, last = int(places[start]), int(places[stop - 1]) + 1
             doc = int(np.searchsorted(starts, first, side="right")) - 1
-            key, value = (at + doc, passages.items[passage]), (edits, first - int(starts[doc]), last - int(starts[doc]))
+            key = (at + doc, passages.items[passage])
+            value = (-len(passages.codes[passage]), edits, first - int(starts[doc]), last - int(starts[doc]))
             best[key] = min(best.get(key, value), value)
-        for (doc, item), (edits, start, stop) in sorted(best.items()):
+        for (doc, item), (_, edits, start, stop) in sorted(best.items()):
             yield doc, item, start, stop, edits
 
 
@@ -167,10 +182,12 @@ def passage_groups(benchmark: DataFrame):
     """The items in groups of bounded size, each as broadcast passages."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
                              ).where("length(text) >= 1")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    length = F.length("text")  # a character lies in as many passages at most
+    often = F.when(length <= PIECE, 1).when(length <= LONGEST, 2 + PIECE // STEP).otherwise((LONGEST + PIECE) // STEP + 2)
+    size = items.agg(F.sum(length * often)).first()[0] or 0
     count = -(-size // GROUP_GRAMS)
     for k in range(count):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect()  # about GROUP_GRAMS characters
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect()  # about GROUP_GRAMS q-grams
         yield benchmark.sparkSession.sparkContext.broadcast(
             Passages(sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in rows)))
 

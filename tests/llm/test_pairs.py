@@ -232,3 +232,21 @@ def test_decontamination_odd_rows(odd, nothing, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert qgram_decon.contaminations(odd, none).count() == 0
     assert qgram_decon.uncontaminated(odd, none).count() == odd.count()
+
+
+def test_decontamination_long_items(spark):
+    """No short rest of a long item decides, and quotes that straddle cuts, or of half an item, are found."""
+    rng = random.Random(14)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    spaced = lambda text: " ".join(text[k:k + 5] for k in range(0, len(text), 5))
+    items = [letters(n) for n in (520, 1000, 400)]
+    docs = [(0, f"{spaced(letters(300))} {items[0][512:]} {spaced(letters(300))}"),
+            (1, f"{spaced(letters(90))} {spaced(items[1][300:900])} {spaced(letters(90))}"),
+            (2, f"{spaced(letters(90))} {spaced(items[2][100:355])} {spaced(letters(90))}"),
+            (3, f"{spaced(items[0])} {spaced(letters(90))}"), (4, spaced(letters(700)))]
+    docs += [(10 + k, f"{spaced(letters(50))} {spaced(items[1][k:k + 255])} {spaced(letters(50))}") for k in range(0, 746, 53)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(spaced(x) for x in items)), "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in qgram_decon.contaminations(df, bench).collect()}
+    assert found == {(1, 1), (2, 2), (3, 0), *((d, 1) for d, _ in docs if d >= 10)}
+    assert sorted(r["doc_id"] for r in qgram_decon.uncontaminated(df, bench).collect()) == [0, 4]
