@@ -8,8 +8,8 @@ long as each one more raises the likelihood by more than ``PENALTY`` times the
 logarithm of the number of trigrams.  The prediction is the largest share, the
 score is that share.
 
-The learned table is at most ``LANGUAGES`` rows of 2**15 numbers; only with
-more labels than that are the rarest not learned.
+Every label is learned.  The learned table holds, for each of 2**15 buckets, the
+labels that have it and how often.
 
 Cases: null text, or text without a letter, is ``und`` with score 0, as is any
 text when nothing could be learned; equal shares go to the label first in the
@@ -29,6 +29,7 @@ from gridmart.llm.characters import code_points, gram_hashes, holds, in_groups
 from gridmart.llm.common import documents, fold_of, packed, slices, table, unpacked
 
 BUCKETS = 1 << 15
+#: Labels whose counts a task holds at once.
 LANGUAGES = 256
 ROUNDS = 12
 PENALTY = 2.0
@@ -55,22 +56,24 @@ def trigram_buckets(texts: list[str]):
                 yield grams[before[a]:max(before[a] + 1, before[b] - 4)]
 
 
-def _counts(labels: list[str]):
+def _counts(batches):
     """Rows (lang, chunk, counts) of the trigrams of one task's labelled texts."""
-    known = {label: k for k, label in enumerate(labels)}
-
-    def run(batches):
-        total = np.zeros((len(labels), BUCKETS), dtype=np.int64)
-        for batch in slices(batches):
-            for lang, buckets in zip(batch["lang"].to_pylist(), trigram_buckets(batch["text"].to_pylist()), strict=True):
-                total[known[lang]] += np.bincount(buckets, minlength=BUCKETS)
-        rows = [(lang, c, packed(total[k, c * _CHUNK:(c + 1) * _CHUNK]))
-                for lang, k in known.items() if total[k].any() for c in range(BUCKETS // _CHUNK)]
-        if rows:
+    def rows():
+        out = [(lang, c, packed(t[c * _CHUNK:(c + 1) * _CHUNK])) for lang, t in total.items() if t.any()
+               for c in range(BUCKETS // _CHUNK)]
+        if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), pa.int32(), pa.binary()], strict=True)],
+                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.string(), pa.int32(), pa.binary()], strict=True)],
                 names=["lang", "chunk", "counts"])
-    return run
+        total.clear()
+
+    total: dict[str, np.ndarray] = {}
+    for batch in slices(batches):
+        for lang, buckets in zip(batch["lang"].to_pylist(), trigram_buckets(batch["text"].to_pylist()), strict=True):
+            if lang not in total and len(total) >= LANGUAGES:
+                yield from rows()
+            total[lang] = total.get(lang, 0) + np.bincount(buckets, minlength=BUCKETS)
+    yield from rows()
 
 
 def _sums(rows: pd.DataFrame) -> pd.DataFrame:
@@ -82,9 +85,33 @@ class Model:
     """Trigram probabilities by language."""
 
     def __init__(self, labels: list[str], counts: np.ndarray):
+        """``counts`` of each label (a row) and bucket."""
         self.labels = labels
-        smooth = counts + _SMOOTHING
-        self.chance = smooth / smooth.sum(axis=1, keepdims=True)
+        self._keep(*np.nonzero(counts), counts[np.nonzero(counts)])
+
+    @classmethod
+    def of(cls, labels: list[str], label: np.ndarray, bucket: np.ndarray, often: np.ndarray) -> Model:
+        """From the counts that are not zero."""
+        model = cls.__new__(cls)
+        model.labels = labels
+        model._keep(label, bucket, often)
+        return model
+
+    def _keep(self, label: np.ndarray, bucket: np.ndarray, often: np.ndarray) -> None:
+        whole = np.bincount(label, weights=often, minlength=len(self.labels)) + _SMOOTHING * BUCKETS
+        self.rest = _SMOOTHING / whole
+        order = np.argsort(bucket, kind="stable")
+        self.label, self.value = label[order].astype(np.int32), ((often + _SMOOTHING) / whole[label])[order]
+        self.first = np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+
+    def chance(self, there: np.ndarray) -> np.ndarray:
+        """Probabilities of the buckets ``there``, a row for each label."""
+        out = np.repeat(self.rest[:, None], len(there), axis=1)
+        sizes = self.first[there + 1] - self.first[there]
+        column = np.repeat(np.arange(len(there)), sizes)
+        at = np.arange(len(column)) + np.repeat(self.first[there] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        out[self.label[at], column] = self.value[at]
+        return out
 
     @staticmethod
     def shares(chance: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, float]:
@@ -102,7 +129,7 @@ class Model:
         all_counts = np.bincount(buckets, minlength=BUCKETS)
         there = np.flatnonzero(all_counts)
         often = all_counts[there].astype(np.float64)
-        chance = self.chance[:, there]
+        chance = self.chance(there)
         share, _ = self.shares(chance, often)
         order = np.argsort(-share, kind="stable")
         price = PENALTY * np.log(len(buckets) + 1.0)
@@ -119,16 +146,17 @@ class Model:
 def learn(texts: DataFrame) -> Model:
     """The model of labelled texts (columns text, lang)."""
     labelled = texts.where("lang IS NOT NULL")
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    labels = sorted(r["lang"] for r in common.collect())
-    counts = np.zeros((len(labels), BUCKETS))
+    labels = sorted(r["lang"] for r in labelled.select("lang").distinct().collect())
     at = {label: k for k, label in enumerate(labels)}
-    sums = (labelled.where(F.col("lang").isin(labels)).select("lang", "text")
-            .mapInArrow(_counts(labels), "lang string, chunk int, counts binary")
+    sums = (labelled.select("lang", "text").mapInArrow(_counts, "lang string, chunk int, counts binary")
             .groupBy("lang", "chunk").applyInPandas(_sums, "lang string, chunk int, counts binary"))
-    for r in sums.toLocalIterator():  # at most LANGUAGES * BUCKETS numbers
-        counts[at[r["lang"]], r["chunk"] * _CHUNK:(r["chunk"] + 1) * _CHUNK] = unpacked(r["counts"], np.int64)
-    return Model(labels, counts)
+    parts = [(np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64))]
+    for r in sums.toLocalIterator():  # only what is not zero is kept
+        counts = unpacked(r["counts"], np.int64)
+        there = np.flatnonzero(counts)
+        parts.append((np.full(len(there), at[r["lang"]], dtype=np.int32), (there + r["chunk"] * _CHUNK).astype(np.int32),
+                      counts[there]))
+    return Model.of(labels, *map(np.concatenate, zip(*parts, strict=True)))
 
 
 def training_texts(docs: DataFrame, folds: int, held: int) -> DataFrame:

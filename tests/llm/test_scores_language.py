@@ -121,3 +121,12 @@ def test_chance_hits_do_not_depend_on_the_corpus(small_documents, monkeypatch):
     before = of()
     monkeypatch.setattr(lm_bloom, "FILTER_BYTES", 64, raising=False)
     assert of() == before
+
+
+def test_every_label_is_learned(spark):
+    """With more than 256 labels the rarest one is predicted too."""
+    text = lambda k: " ".join(chr(0x4E00 + 7 * k + j) * 3 for j in range(7))
+    learned = iter(d for d in range(5000) if held(d, 3) != 1)
+    rows = [(next(learned), text(k), f"l{k:03}") for k in range(300) for _ in range(1 if k == 299 else 2)]
+    df = spark.createDataFrame([*rows, (9000, text(299), None)], "doc_id long, text string, lang string")
+    assert [r["lang_pred"] for r in mixture_langid.identify(df).where("doc_id = 9000").collect()] == ["l299"]
