@@ -12,7 +12,8 @@ Every label is learned.  The learned table holds, for each of 2**15 buckets, the
 labels that have it and how often.
 
 Cases: null text, or text without a letter, is ``und`` with score 0, as is any
-text when nothing could be learned; equal shares go to the label first in the
+text when nothing could be learned (``keep_identified`` then keeps every text
+that has a letter); equal shares go to the label first in the
 alphabet; repeated rows are predicted each; an empty table gives no rows; other
 columns are ignored.
 """
@@ -180,13 +181,21 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least_share: float) -> DataFrame:
-    """The rows, unchanged, whose language is known and has at least that share of the text."""
+    """The rows, unchanged, whose language is known and has at least that share of the text.
+
+    When no label could be learned nothing is known of any text, and those that have a letter stay.
+    """
     model = docs.sparkSession.sparkContext.broadcast(learn(training_texts(docs, 3, 1)))
 
     def keep(batches):
         for batch in slices(batches):
-            found = [model.value.predict(x) for x in trigram_buckets([t or "" for t in batch["text"].to_pylist()])]
-            yield batch.filter(pa.array([lang != UNKNOWN and share >= least_share for lang, share in found], pa.bool_()))
+            grams = trigram_buckets([t or "" for t in batch["text"].to_pylist()])
+            if model.value.labels:
+                found = [model.value.predict(x) for x in grams]
+                stays = [lang != UNKNOWN and share >= least_share for lang, share in found]
+            else:
+                stays = [len(x) > 0 for x in grams]
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gridmart.llm import lm_bloom, mixture_langid
 
@@ -130,3 +131,10 @@ def test_every_label_is_learned(spark):
     rows = [(next(learned), text(k), f"l{k:03}") for k in range(300) for _ in range(1 if k == 299 else 2)]
     df = spark.createDataFrame([*rows, (9000, text(299), None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in mixture_langid.identify(df).where("doc_id = 9000").collect()] == ["l299"]
+
+
+def test_documents_stay_when_nothing_is_learned(odd):
+    """Without a label only texts without a letter go."""
+    kept = mixture_langid.keep_identified(odd.withColumn("lang", F.lit(None).cast("string")), 0.4)
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 4
+    assert kept.where("doc_id IN (1, 2, 3, 4)").count() == 0
