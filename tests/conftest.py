@@ -7,7 +7,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
 SF = "/root/testdata/sf0.001"
 
 os.environ["TZ"] = "UTC"
@@ -27,7 +26,3 @@ def spark():
 @pytest.fixture
 def tmp(tmp_path):
     return str(tmp_path)
-
-
-def fx(*parts):
-    return os.path.join(FIXTURES, *parts)

@@ -6,7 +6,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fx
+from fixture_files import fx
 from gridmart.operators import audit
 from gridmart.plans.export import (UnknownTableError, counts_by_year, export_csv_by_year,
                                    merge_monthly_tsv)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fx
+from fixture_files import fx
 from gridmart.operators import manifest as M
 
 FOLDER = "ImbalancePrices_17.1.G_r3.1"

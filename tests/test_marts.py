@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import fx
+from fixture_files import fx
 from gridmart.operators.dedupe import dedupe_latest
 from gridmart.plans import marts, staging
 from gridmart.sources.pages import read_entity

@@ -5,7 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fx
+from fixture_files import fx
 from gridmart.plans import orchestrate as O
 from gridmart.operators.quality import DataCheckError
 from gridmart.plans import sync

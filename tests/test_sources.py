@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import fx
+from fixture_files import fx
 from gridmart.sources.pages import read_entity, read_pages
 from gridmart.sources.tsv import scan_instrument, scan_tsv
 from gridmart.schemas import ENTITIES, entity_row_schema
