@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import read_parquet_or_none, staged_copy, staged_copy_if_reads
 from ..operators.upsert import write_partitions
-from ..sources.tsv import _cells, header_layouts, scan_tsv
+from ..sources.layouts import cells, file_layouts, header_layouts
+from ..sources.tsv import scan_tsv
 from ..schemas import DATETIME_HEADER
 
 # Wall-clock (NTZ) instants carry no offset; fractions are kept.
@@ -170,7 +171,8 @@ def union_slices(dfs: Sequence[DataFrame]) -> DataFrame:
 def merged_headers(spark: SparkSession, paths, header_first: str = DATETIME_HEADER) -> list[str]:
     """Union of the (trimmed) header names of some files, in the order of their distinct header lines."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    names = [name for line in header_layouts(spark, paths, header_first) for name in _cells(line) if name]
+    lines = header_layouts(file_layouts(spark, paths), header_first)
+    names = [name for line in lines for name in cells(line) if name]
     return list(dict.fromkeys(names))
 
 

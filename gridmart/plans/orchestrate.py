@@ -7,6 +7,7 @@ Layout under one root (shared storage on a cluster):
     manifest/                                the export log (tab-separated)
     raw/<resource>/load_id=<n>/              raw append tables
     state/files/                             (filename, updated) state
+    state/layouts/                           the header line of each file read so far
     state/pse/<entity>/                      publication watermark
     marts/<mart>/part_date=<d>/              marts
 """
@@ -57,7 +58,7 @@ class UnlandedFilesError(RuntimeError):
 def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None = None,
                seed: bool = False, selected_files: Sequence[str] | None = None,
                latest_only: bool = False, years=None, force: bool = False,
-               on_error: str = "fail", multi_line: bool = True) -> dict:
+               on_error: str = "fail", multi_line: bool | str = "auto") -> dict:
     """G1 for ENTSO-E: manifest diff -> scan chosen files -> append -> commit state.
 
     The driver only sees the list of chosen file paths.  State is committed
@@ -69,7 +70,7 @@ def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None
     and writes the bad ones to ``rejects/<resource>`` under the same load id.
     """
     log = manifest.read_manifest(spark, _p(root, "manifest"))
-    state_path = _p(root, "state", "files")
+    state_path, layouts = _p(root, "state", "files"), _p(root, "state", "layouts")
     state = read_version(spark, state_path)
     report = {}
     for key in select_instruments(instruments):
@@ -102,13 +103,13 @@ def run_entsoe(spark: SparkSession, root: str, instruments: Sequence[str] | None
         raw_path = _p(root, "raw", inst.resource)
         load_id = next_load_id(spark, raw_path)
         if on_error == "reject":
-            text = scan_instrument(spark, paths, inst, on_error="keep",
-                                   multi_line=multi_line).drop("file_path")
+            text = scan_instrument(spark, paths, inst, on_error="keep", multi_line=multi_line,
+                                   index_path=layouts).drop("file_path")
             rows, rejects = quality.split_rejects(
                 text, {"datetime": True, "update_time": False}, source="entsoe")
             append_raw(rejects, _p(root, "rejects", inst.resource), load_id)
         else:
-            rows = scan_instrument(spark, paths, inst, multi_line=multi_line).drop("file_path")
+            rows = scan_instrument(spark, paths, inst, multi_line=multi_line, index_path=layouts).drop("file_path")
         append_raw(rows, raw_path, load_id)
         write_version(manifest.commit_state(state, todo), state_path)
         state = read_version(spark, state_path)

@@ -2,84 +2,82 @@
 
 ``spark.read.csv`` with ``header=True`` takes one file's header and maps all
 other files by position, so a file with reordered columns would be silently
-scrambled.  Here the header lines are found by the text source, grouped by
-their distinct content (a *layout*), and the layouts alone come to the driver.
+scrambled.  Here the index of :mod:`.layouts` says which header line each file has;
+the distinct header lines (*layouts*) alone come to the driver.
 They give the width of the positional read, whatever it is, and the position
 of each wanted name, so one CSV parse reads just the cells that are wanted.
 With one layout no join is needed; with several each row finds its file's
-layout by a join on the file path.
-Quotes with doubled-quote escapes and quoted newlines are honoured.
+layout by a join on the file.
+Quotes with doubled-quote escapes and quoted newlines are honoured, in files of any
+size: those larger than a split are cut into byte ranges (:mod:`.records`).
 """
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import strip_text, text_or_empty
+from ..functions.text import text_or_empty
 from ..functions.timeutc import with_utc
 from ..schemas import (COMMON_HEADERS, DATETIME_HEADER, INSTRUMENTS, UPDATE_TIME_HEADER,
                        Instrument)
+from .layouts import cells, file_layouts, header_layouts
+from .records import quoted_records, record_cells
 
+#: How quoted newlines are honoured: by one task a file, not at all, by byte ranges, or by
+#: ranges only if a file is larger than ``spark.sql.files.maxPartitionBytes``.
+MULTI_LINE = (True, False, "ranges", "auto")
 
-class MissingHeaderError(RuntimeError):
-    pass
 
+def _split_bytes(spark: SparkSession) -> int:
+    """``spark.sql.files.maxPartitionBytes`` as a number."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
-def _cells(line: str) -> list[str]:
-    """The stripped cells of a header line."""
-    return [c.strip() for c in next(csv.reader([line], delimiter="\t"), [])]
 
-
-def _names_header(line: Column, header_first: str) -> Column:
-    """Whether one of a line's cells, stripped and unquoted, is the given name."""
-    cells = F.transform(F.split(line, "\t"), lambda c: strip_text(F.regexp_replace(strip_text(c), '^"|"$', "")))
-    return line.contains(header_first) & F.array_contains(cells, header_first)
-
-
-def file_layouts(spark: SparkSession, paths: Sequence[str], header_first: str) -> DataFrame:
-    """(file_path, header): the header line of each file that has lines; null if it names no header."""
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file_path"))
-    header = F.when(_names_header(F.col("value"), header_first), F.col("value"))
-    return lines.where(strip_text("value") != "").groupBy("file_path").agg(F.max(header).alias("header"))
-
-
-def header_layouts(spark: SparkSession, paths: Sequence[str], header_first: str = DATETIME_HEADER,
-                   check_headers: bool = True) -> list[str]:
-    """The distinct header lines of some files, sorted (few, however many the files)."""
-    found = file_layouts(spark, paths, header_first).groupBy("header").agg(F.min("file_path").alias("example")).collect()
-    bare = [r["example"] for r in found if r["header"] is None]
-    if bare and check_headers:
-        raise MissingHeaderError(f"file without header line: {bare[0]}")
-    return sorted(r["header"] for r in found if r["header"] is not None)
+def _positional_rows(spark: SparkSession, paths: list[str], width: int, by_ranges: bool, multi_line: bool) -> DataFrame:
+    """Cells ``_c0``, ``_c1``, ... of every row, header lines too, with the number of the row's file."""
+    columns = [f"_c{i}" for i in range(width)]
+    if by_ranges:
+        records = quoted_records(spark, paths).where("rtrim('\r', record) <> ''")
+        cell = record_cells(F.ltrim(F.col("record"), F.lit("\ufeff")), width)
+        return records.select(cell.alias("cells"), "file").select("cells.*", "file")
+    raw = (spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+           .option("sep", "\t").option("header", False).option("quote", '"').option("escape", '"')
+           .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(paths))
+    return raw.select(*columns, F.xxhash64(F.col("_metadata.file_path")).alias("file"),
+                      F.col("_metadata.file_path").alias("file_path"))
 
 
 def scan_tsv(spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str],
              header_first: str = DATETIME_HEADER, check_headers: bool = True,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool | str = "auto", index_path: str | None = None) -> DataFrame:
     """Rows of all files as text columns named by their (trimmed) header.
 
     Missing columns and short rows give ''; fields beyond the header are
-    ignored; every value is stripped.  Adds ``file_path``.  ``multi_line``
-    honours quoted newlines but makes each file one task; for large files
-    known to have none, ``False`` lets Spark split them.
+    ignored; every value is stripped.  Adds ``file_path``.  ``multi_line``: see
+    ``MULTI_LINE``; ``False`` is for files known to have no quoted newline.
+    With ``index_path`` the files' layouts are kept there, so files that were
+    scanned before are not opened to find theirs.
     """
+    if multi_line not in MULTI_LINE:
+        raise ValueError(f"multi_line is one of {MULTI_LINE}")
     paths = [paths] if isinstance(paths, str) else list(paths)
-    layouts = header_layouts(spark, paths, header_first, check_headers)
-    names = [_cells(h) for h in layouts]
+    index = file_layouts(spark, paths, index_path)
+    layouts = header_layouts(index, header_first, check_headers)
+    names = [cells(h) for h in layouts]
     width = max((len(n) for n in names), default=0) + 1
-    raw = (spark.read.schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)]))
-           .option("sep", "\t").option("header", False).option("quote", '"').option("escape", '"')
-           .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(paths))
-    rows = raw.select("*", F.col("_metadata.file_path").alias("file_path"))
-    if len(layouts) > 1:
-        number = F.create_map(*[F.lit(x) for k, h in enumerate(layouts) for x in (h, k)])
-        of_file = file_layouts(spark, paths, header_first).select("file_path", number[F.col("header")].alias("__layout"))
-        rows = rows.join(of_file, "file_path")
+    by_ranges = multi_line == "ranges" or (
+        multi_line == "auto" and not index.where(F.col("length") > _split_bytes(spark)).isEmpty())
+    rows = _positional_rows(spark, paths, width, by_ranges, bool(multi_line))
+    if len(layouts) > 1 or by_ranges:
+        number = F.create_map(*[F.lit(x) for k, h in enumerate(layouts) for x in (h, k)]) if layouts else None
+        of_file = index.select(F.xxhash64("file_path").alias("file"), "file_path",
+                               (number[F.col("header")] if layouts else F.lit(0)).alias("__layout"))
+        rows = rows.drop("file_path").join(of_file, "file")
 
     def by_layout(cell_of) -> Column:
         """One expression over the layouts; ``cell_of`` gives it for one of them."""
@@ -125,14 +123,14 @@ def type_instrument(text: DataFrame, instrument: str | Instrument,
 
 def scan_instrument(spark: SparkSession, paths: str | Sequence[str],
                     instrument: str | Instrument, on_error: str = "fail",
-                    multi_line: bool = True) -> DataFrame:
+                    multi_line: bool | str = "auto", index_path: str | None = None) -> DataFrame:
     """One instrument's files as its raw table schema.
 
     ``datetime`` is required, ``update_time`` optional (blank -> NULL); both
     strictly UTC.  With ``on_error="fail"`` a bad instant aborts the job; with
     ``"keep"`` both stay text for :func:`gridmart.operators.quality.split_rejects`.
     """
-    text = scan_tsv(spark, paths, list(instrument_headers(instrument)), multi_line=multi_line)
+    text = scan_tsv(spark, paths, list(instrument_headers(instrument)), multi_line=multi_line, index_path=index_path)
     return type_instrument(text, instrument, on_error)
 
 

@@ -33,7 +33,7 @@ def write_load(batch: DataFrame, raw_path: str, load_id: int) -> None:
 def stream_ingest_files(spark: SparkSession, landing_dir: str, raw_path: str,
                         checkpoint: str, instrument: str, load_id_base: int = 0,
                         max_files_per_trigger: int = 100, available_now: bool = True,
-                        multi_line: bool = True):
+                        multi_line: bool | str = "auto"):
     """Start (and with ``available_now`` run to completion) the ingest stream.
 
     Returns the StreamingQuery.  Load id = ``load_id_base + batch id``.
