@@ -202,13 +202,17 @@ def run_ingest(spark: SparkSession, root: str, sources: Sequence[str] = ("entsoe
 
 
 def run_all(spark: SparkSession, root: str, replica_root: str, overlap_days: int = 2,
-            checks: bool = True, **ingest) -> dict:
-    """Ingest, models and replica refresh, one after the other."""
+            checks: bool = True, by_digest: bool = False, **ingest) -> dict:
+    """Ingest, models and replica refresh, one after the other.
+
+    ``by_digest`` compares digest trees instead of the last ``overlap_days``.
+    """
     report = {"ingest": run_ingest(spark, root, **ingest)}
     built = run_models(spark, root, checks=checks)
     marts = {name: spark.read.parquet(path) for name, path in built.items()}
     marts = {name: df.drop("part_date") for name, df in marts.items()}
-    report["sync"] = sync_many(spark, marts, replica_root, list(marts), overlap_days)
+    report["sync"] = sync_many(spark, marts, replica_root, list(marts), overlap_days,
+                               local_paths=built if by_digest else None)
     return report
 
 

@@ -15,8 +15,9 @@ from ..functions.timeutc import now_utc_text
 from ..operators import audit, incremental, manifest, profile
 from ..operators.joins import join_dim
 from ..operators.metrics import adhoc_sql, metric_query
+from ..operators.upsert import write_partitions
 from ..schemas import INSTRUMENTS
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 from ..sources.tables import read_table
 from ..sources.tsv import instrument_headers, scan_instrument
 from . import marts, oracle, staging, sync, testbed
@@ -197,8 +198,11 @@ def q_sync_plan(spark, sf_dir):
 
 def q_sync_many(spark, sf_dir):
     """U7 twice: a full copy, then nothing to do or a late window; what the replica holds."""
-    tables = {k: v for k, v in _marts(spark, sf_dir).items() if v is not None}
-    root = scratch_path(spark, "replica")
+    tables, root, marts = {}, scratch_path(spark, "replica"), scratch_path(spark, "marts")
+    for name, df in _marts(spark, sf_dir).items():
+        if df is not None:  # marts are tables when they are copied
+            df.write.parquet(f"{marts}/{name}")
+            tables[name] = spark.read.parquet(f"{marts}/{name}")
     first = sync.sync_many(spark, tables, root, list(tables))
     second = sync.sync_many(spark, tables, root, list(tables))
     out = None
@@ -220,14 +224,31 @@ def q_watermark_row(spark, sf_dir):
 
 def q_sync_strict(spark, sf_dir):
     """U5 strict: an edit in place of a table without a time column is seen."""
-    n = _T(spark, sf_dir, "nation")
-    edited = n.withColumn("n_name", F.when(F.col("n_nationkey") == 3, F.lit("EDITED")).otherwise(F.col("n_name")))
-    rows = [sync.decide(n, other, None, name, strict=strict).select("table_name", "action")
-            for name, other, strict in (("same", n.orderBy(F.desc("n_nationkey")), True), ("edited_plain", edited, False),
+    c = _T(spark, sf_dir, "customer")
+    edited = c.withColumn("c_name", F.when(F.col("c_custkey") == 3, F.lit("EDITED")).otherwise(F.col("c_name")))
+    rows = [sync.decide(c, other, None, name, strict=strict).select("table_name", "action")
+            for name, other, strict in (("same", c.repartition(7, "c_custkey"), True), ("edited_plain", edited, False),
                                         ("edited_strict", edited, True))]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def q_sync_old_edit(spark, sf_dir):
+    """U3 by digest trees: after a copy an old day is edited in place and another one goes; only these two are copied."""
+    root, day = scratch_path(spark, "digests"), F.to_date("ts")
+    events = _T(spark, sf_dir, "events").withColumn(sync.PART, day)
+    write_partitions(events, f"{root}/source", sync.PART, "static")
+    runs = [sync.sync_days(spark, f"{root}/source", f"{root}/replica", f"{root}/trees", "events")[0]]
+    edit = (day == F.lit("2024-01-10").cast("date")) & (F.col("event_id") % 2 == 0)
+    edited = events.withColumn("value", F.when(edit, F.col("value") + 1).otherwise(F.col("value")))
+    write_partitions(edited.where(F.col(sync.PART) == F.lit("2024-01-10").cast("date")), f"{root}/source", sync.PART)
+    delete_path(spark, f"{root}/source/{sync.PART}=2024-01-05")
+    for _ in range(2):
+        action, days = sync.sync_days(spark, f"{root}/source", f"{root}/replica", f"{root}/trees", "events")
+        runs.append(" ".join([action, *days]))
+    out = spark.read.parquet(f"{root}/replica").drop(sync.PART)
+    return out.withColumn("runs", F.lit(", ".join(runs)))
+
+
 def q_load_summary(spark, sf_dir):
     events = audit.parse_events(testbed._log_lines(spark, sf_dir))
     expected = audit.expected_frame(spark, {"click": 2000, "view": 2500, "purchase": 100, "signup": 0, "energy_prices": 21})
@@ -338,6 +359,10 @@ UNION ALL SELECT 'fct_entsoe_imbalance_prices', 'full-copy', 'append', count(*)
     "watermark_row": """
 SELECT 'events' AS table_name, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS remote_max FROM events
 UNION ALL SELECT 'orders', '1998'""",
+    "sync_old_edit": """
+SELECT * REPLACE (CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' AND event_id % 2 = 0 THEN value + 1 ELSE value END AS value),
+       'full-copy, resync 2024-01-05 2024-01-10, skip' AS runs
+FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-05'""",
     "sync_strict": """
 SELECT 'same' AS table_name, 'skip' AS action UNION ALL SELECT 'edited_plain', 'skip'
 UNION ALL SELECT 'edited_strict', 'replace-small'""",

@@ -99,11 +99,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/gridmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def strip_scheme(path: str) -> str:
-    """Local filesystem path of a ``file:`` URI (used by tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem, so it works on any store."""
     jvm = spark.sparkContext._jvm
@@ -112,6 +107,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's partition folders as text, sorted; from a listing of one folder."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(hpath)]
+    return sorted(n[len(column) + 1:] for n in names if n.startswith(f"{column}="))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -120,8 +126,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
-
-
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Complete versions of a small table, oldest first."""
     jvm = spark.sparkContext._jvm
