@@ -27,7 +27,8 @@ TREE = "level string, node string, branch string, row_count long, first decimal(
 _SUMS = ("row_count", "first", "second")
 
 
-def _day(part_col: str) -> Column:
+def day_text(part_col: str) -> Column:
+    """A partition value as text, a missing one too."""
     return F.coalesce(F.col(part_col).cast("string"), F.lit(NO_DAY))
 
 
@@ -40,7 +41,7 @@ def row_hash(columns: Sequence[str], seed: int) -> Column:
 def day_digests(table: DataFrame, part_col: str = PART) -> DataFrame:
     """(node, row_count, first, second) of each day."""
     columns = [c for c in table.columns if c != part_col]
-    return table.groupBy(_day(part_col).alias("node")).agg(
+    return table.groupBy(day_text(part_col).alias("node")).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum(row_hash(columns, 1)).alias("first"),
         F.sum(row_hash(columns, 2)).alias("second"))
 
@@ -58,11 +59,11 @@ def roll_up(days: DataFrame) -> DataFrame:
     return leaves.unionByName(months).unionByName(above(months, "table", F.lit(None).cast("string")))
 
 
-def _listing(spark: SparkSession, table: DataFrame, table_path: str, part_col: str) -> DataFrame:
+def day_listing(spark: SparkSession, table: DataFrame, table_path: str, part_col: str) -> DataFrame:
     """(node, files): what the files of each day look like from outside; no content is read."""
     schema = F.xxhash64(F.lit(table.schema.simpleString())).cast("decimal(38,0)")
     one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
-    return (spark.read.format("binaryFile").load(table_path).groupBy(_day(part_col).alias("node"))
+    return (spark.read.format("binaryFile").load(table_path).groupBy(day_text(part_col).alias("node"))
             .agg(F.concat_ws(":", F.count(F.lit(1)), F.sum("length"), F.sum(one) + schema).alias("files")))
 
 
@@ -72,7 +73,7 @@ def refresh_tree(spark: SparkSession, table_path: str, tree_path: str, part_col:
     if table is None:
         write_version(spark.createDataFrame([], TREE), tree_path)
         return read_version(spark, tree_path)
-    files = _listing(spark, table, table_path, part_col)
+    files = day_listing(spark, table, table_path, part_col)
     known = before.where("level = 'day'") if before is not None else spark.createDataFrame([], TREE)
     todo = [r["node"] for r in files.join(known, ["node", "files"], "left_anti").collect()]  # days, of the calendar
     kept = known.join(files, ["node", "files"], "left_semi").select("node", *_SUMS, "files")
@@ -80,7 +81,7 @@ def refresh_tree(spark: SparkSession, table_path: str, tree_path: str, part_col:
         return before
     days = kept
     if todo:
-        fresh = day_digests(table.where(_day(part_col).isin(todo)), part_col)
+        fresh = day_digests(table.where(day_text(part_col).isin(todo)), part_col)
         days = kept.unionByName(fresh.join(files, "node").select(*kept.columns))
     write_version(roll_up(days).coalesce(1), tree_path)
     return read_version(spark, tree_path)
@@ -111,8 +112,8 @@ def copy_days(spark: SparkSession, source_path: str, replica_path: str, days: Se
     Days that the source lacks are dropped first; the others are overwritten
     one partition at a time, so that a run that was cut off is finished by the next one.
     """
-    source = spark.read.parquet(source_path).where(_day(part_col).isin(list(days)))
-    there = {r[0] for r in source.select(_day(part_col)).distinct().collect()}
+    source = spark.read.parquet(source_path).where(day_text(part_col).isin(list(days)))
+    there = {r[0] for r in source.select(day_text(part_col)).distinct().collect()}
     for day in sorted(set(days) - there):
         delete_path(spark, f"{replica_path.rstrip('/')}/{part_col}={day}")
     if there:

@@ -10,6 +10,7 @@ Layout under one root (shared storage on a cluster):
     state/layouts/                           the header line of each file read so far
     state/pse/<entity>/                      publication watermark
     marts/<mart>/part_date=<d>/              marts
+    rollups/<mart>/<rollup>/                 aggregate states by day or month
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from . import marts as M
 from . import staging as S
 from .sync import sync_many
 from .export import append_raw, loaded_ids, mirror_table, next_load_id
+from .rollups import ROLLUPS, RollupStore
 
 
 class UnknownInstrumentError(KeyError):
@@ -226,8 +228,8 @@ def _raw_sources(root: str):
 
 
 def run_models(spark: SparkSession, root: str, checks: bool = True,
-               incremental: bool = False) -> dict:
-    """Staging (views) then marts in dependency order.
+               incremental: bool = False, rollups: bool = False) -> dict:
+    """Staging (views) then marts in dependency order, and with ``rollups`` the aggregate states of the marts.
 
     Marts with a unique key are merged partition-wise (U1); the others are
     rebuilt.  With ``checks`` the declared data tests run first (Q1, Q2).
@@ -284,6 +286,9 @@ def run_models(spark: SparkSession, root: str, checks: bool = True,
         built[mart] = path
     if checks and "dim_area" in built:
         quality.assert_checks(quality.check_unique(spark.read.parquet(built["dim_area"]), ["area_map_code"]))
+    for mart, path in built.items() if rollups else ():
+        if mart in ROLLUPS:
+            RollupStore(spark, _p(root, "rollups"), mart).refresh(path)
     for state_path, load_id in commits.items():
         write_version(spark.range(1).select(F.lit(load_id).cast("bigint").alias("load_id")),
                       state_path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.timeutc import now_utc_text
 from ..operators import audit, incremental, manifest, profile
 from ..operators.joins import join_dim
-from ..operators.metrics import adhoc_sql, metric_query
+from ..operators.metrics import MODELS, adhoc_sql, metric_query
 from ..operators.upsert import write_partitions
 from ..schemas import INSTRUMENTS
 from ..session import delete_path, scratch_path
@@ -22,6 +22,7 @@ from ..sources.tables import read_table
 from ..sources.tsv import instrument_headers, scan_instrument
 from . import marts, oracle, staging, sync, testbed
 from .export import materialize
+from .rollups import RollupStore
 
 _T = testbed._t
 
@@ -286,6 +287,49 @@ def q_metric_cor(spark, sf_dir):
     return metric_query(marts.fct_pse_cor(staging.stg_pse_cor(testbed.raw_cor(spark, sf_dir))), "fct_pse_cor", ["business_date"], round_to=6, with_count=True)
 
 
+#: Mart -> (its time column, the dimension that the rollup query groups by).
+_ROLLED = {"fct_energy_prices": ("datetime", "area_map_code"), "fct_entsoe_imbalance_prices": ("datetime", "price_metric"),
+           "fct_entsoe_generation_forecasts": ("datetime", "production_type"),
+           "fct_entsoe_aggregated_generation": ("datetime", "measure_metric"),
+           "fct_pse_zmb": ("dtime_utc", "product"), "fct_pse_cor": ("dtime_utc", "business_date")}
+
+
+def q_metric_rollups(spark, sf_dir):
+    """All 19 metrics from stored rollups, after a day of every mart was replaced by other values and another one removed."""
+    facts = {"fct_energy_prices": testbed.fct_prices_df(spark, sf_dir), "fct_entsoe_imbalance_prices": testbed.fct_imbalance_df(spark, sf_dir),
+             "fct_entsoe_generation_forecasts": testbed.fct_forecasts_df(spark, sf_dir),
+             "fct_entsoe_aggregated_generation": testbed.fct_generation_df(spark, sf_dir),
+             "fct_pse_zmb": marts.fct_pse_zmb(staging.stg_pse_zmb(testbed.raw_zmb(spark, sf_dir))),
+             "fct_pse_cor": marts.fct_pse_cor(staging.stg_pse_cor(testbed.raw_cor(spark, sf_dir)))}
+    # The orders' seven years of days are folded into four weeks, to keep the number of day folders low.
+    for mart in ("fct_entsoe_generation_forecasts", "fct_pse_zmb"):
+        time_col = _ROLLED[mart][0]
+        weeks = F.date_add(F.lit("2024-01-01").cast("date"), F.datediff(time_col, F.lit("1992-01-01").cast("date")) % 28)
+        facts[mart] = facts[mart].withColumn(time_col, weeks.cast(facts[mart].schema[time_col].dataType))
+    root, out = scratch_path(spark, "rollups"), None
+    for mart, (time_col, dim) in _ROLLED.items():
+        path, store = f"{root}/marts/{mart}", RollupStore(spark, f"{root}/rollups", mart)
+        rows = marts.with_partition_date(facts[mart], time_col)
+        write_partitions(rows, path, "part_date", "static")
+        store.refresh(path)
+        measures = {m.column for m in MODELS[mart].metrics}
+        changed = rows.where(F.col("part_date") == F.lit("2024-01-10").cast("date"))
+        write_partitions(changed.withColumns({c: F.col(c) * 2 for c in measures}), path, "part_date")
+        delete_path(spark, f"{path}/part_date=2024-01-05")
+        if store.refresh(path) != ["2024-01-05", "2024-01-10"]:
+            raise RuntimeError("other days than the changed ones were computed anew")
+        places = {"average": 7, "sum": 3, "max": 9, "min": 9}
+        answer = store.answer([dim])
+        if any("/marts/" in f for f in answer.inputFiles()):
+            raise RuntimeError("the answer reads the mart")
+        long = answer.select(F.lit(mart).alias("model"), F.col(dim).cast("string").alias("dim"), F.explode(F.array(*[
+            F.struct(F.lit(m.name).alias("metric"), F.round(F.col(m.name).cast("double"), places[m.kind]).alias("value"))
+            for m in MODELS[mart].metrics])).alias("m"))
+        long = long.select("model", "dim", "m.metric", "m.value")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")}
 
 
@@ -295,6 +339,29 @@ def _numbers(columns: str) -> str:
 
 _AREA = "datetime, resolution_code, area_code, area_name, area_type_code, area_map_code, "
 _TS = "TRY_CAST(replace(updated, 'T', ' ') AS TIMESTAMP)"
+_FOLD = ("* REPLACE (DATE '2024-01-01' + CAST(date_diff('day', DATE '1992-01-01', CAST({0} AS DATE)) % 28 AS INTEGER) AS {0})")
+_FOLDED = ("folded_forecasts AS (SELECT " + _FOLD.format("datetime") + " FROM fct_forecasts),\nfolded_zmb AS (SELECT "
+           + _FOLD.format("dtime_utc") + " FROM stg_zmb UNPIVOT (demand_mw FOR product IN (" + ", ".join(oracle._ZMB) + ")))")
+_FACTS = {"fct_energy_prices": "fct_prices", "fct_entsoe_imbalance_prices": "fct_imbalance",
+          "fct_entsoe_generation_forecasts": "folded_forecasts", "fct_entsoe_aggregated_generation": "fct_generation",
+          "fct_pse_zmb": "folded_zmb", "fct_pse_cor": "stg_cor"}
+_SQL_KIND = {"average": "ROUND(AVG({0}), 7)", "sum": "ROUND(SUM({0}), 3)", "max": "ROUND(MAX({0}), 9)", "min": "ROUND(MIN({0}), 9)"}
+
+
+def _rollup_sql() -> str:
+    """Every metric straight from the facts, with the changed day's values doubled and the removed day left out."""
+    parts = []
+    for mart, (t, dim) in _ROLLED.items():
+        for m in MODELS[mart].metrics:
+            value = f"(CASE WHEN CAST({t} AS DATE) = DATE '2024-01-10' THEN 2 * {m.column} ELSE {m.column} END)"
+            parts.append(f"SELECT '{mart}' AS model, CAST({dim} AS VARCHAR) AS dim, '{m.name}' AS metric, "
+                         f"CAST({_SQL_KIND[m.kind].format(value)} AS DOUBLE) AS value FROM {_FACTS[mart]} "
+                         f"WHERE CAST({t} AS DATE) <> DATE '2024-01-05' GROUP BY {dim}")
+    facts = [oracle.FCT_IMBALANCE, oracle.FCT_FORECASTS, oracle.FCT_GENERATION]
+    ctes = [oracle.STG_PRICES, *[f[len(oracle.AREAS) + 2:] for f in facts], oracle.FCT_ZMB, _FOLDED, oracle.FCT_COR]
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(parts)
+
+
 _METRICS = "ROUND(AVG({0}), {2}) AS average_{1}, MAX({0}) AS max_{1}"
 
 SQL = {
@@ -359,6 +426,7 @@ UNION ALL SELECT 'fct_entsoe_imbalance_prices', 'full-copy', 'append', count(*)
     "watermark_row": """
 SELECT 'events' AS table_name, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS remote_max FROM events
 UNION ALL SELECT 'orders', '1998'""",
+    "metric_rollups": _rollup_sql(),
     "sync_old_edit": """
 SELECT * REPLACE (CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' AND event_id % 2 = 0 THEN value + 1 ELSE value END AS value),
        'full-copy, resync 2024-01-05 2024-01-10, skip' AS runs

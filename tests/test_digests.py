@@ -2,9 +2,9 @@
 
 import datetime as dt
 import glob
-import os
 
 import pytest
+from fixture_files import spoil
 from pyspark.sql import functions as F
 
 from gridmart.operators.upsert import write_partitions
@@ -42,21 +42,6 @@ class Pair:
         return a == b
 
 
-def spoil(path):
-    """Make the data of files unreadable; from outside, and in their footers, they look unchanged."""
-    for name in glob.glob(f"{path}/*.parquet"):
-        size, times = os.path.getsize(name), os.stat(name)
-        with open(name, "r+b") as out:
-            out.seek(size - 8)
-            footer = int.from_bytes(out.read(4), "little")
-            out.seek(4)
-            out.write(b"\xff" * (size - 12 - footer))
-        os.utime(name, ns=(times.st_atime_ns, times.st_mtime_ns))
-        check = f"{path}/.{os.path.basename(name)}.crc"
-        if os.path.exists(check):
-            os.remove(check)
-
-
 def test_old_edits_are_copied_and_nothing_else_is_read(spark, tmp):
     pair = Pair(spark, tmp)
     pair.write(ROWS)
