@@ -7,6 +7,8 @@ Word identity is a 64-bit hash where an operator says so.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -41,6 +43,19 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch_of(paths: list[str]):
+    """Notes in ``paths`` what is staged inside."""
+    _scratch.append(paths)
+    try:
+        yield
+    finally:
+        _scratch.pop()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read again.
 
@@ -49,6 +64,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for noted in _scratch:
+        noted.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

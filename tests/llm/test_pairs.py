@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from gridmart.llm import collision_dedup, components, qgram_decon, size_aware_join, sparse_suffix
@@ -32,18 +33,23 @@ def classes(nodes, links):
 
 
 def expected_groups(docs, k, percent):
-    sets = [(d, shingles(t, k)) for d, t in docs if d is not None]
-    links = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[:i]
+    """The component of every row, rows being documents by themselves, and the rows' sets."""
+    sets = [shingles(t, k) for _, t in docs]
+    links = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i])
              if len(x & y) and 100 * len(x & y) >= percent * len(x | y)]
-    return classes({d for d, _ in sets}, links), sets
+    return classes(range(len(docs)), links), sets
 
 
 def check_groups(df, k, percent):
     docs = [(r["doc_id"], r["text"]) for r in df.collect()]
     groups, sets = expected_groups(docs, k, percent)
+    least = {}
+    for row, (doc, _) in enumerate(docs):
+        known = [d for d in (least.get(groups[row]), doc) if d is not None]
+        least[groups[row]] = min(known) if known else None
+    want = [(doc, len(sets[row]), least[groups[row]]) for row, (doc, _) in enumerate(docs)]
     rows = size_aware_join.jaccard_groups(df, k, percent).collect()
-    assert sorted((r["doc_id"], r["n_shingles"]) for r in rows) == sorted((d, len(s)) for d, s in sets)
-    assert all(r["component_id"] == groups[r["doc_id"]] for r in rows)
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, want))
 
 
 def edited(text, rng, edits):
@@ -71,7 +77,7 @@ def test_jaccard_families(families, k, percent):
 
 
 def test_jaccard_odd_rows(odd, nothing):
-    check_groups(odd.select("doc_id", "text"), 3, 90)
+    check_groups(odd, 3, 90)
     assert size_aware_join.jaccard_groups(nothing, 3, 90).count() == 0
 
 
@@ -86,6 +92,60 @@ def test_jaccard_large_group_is_split(spark, monkeypatch, long):
     check_groups(df, 3, 90)
 
 
+def test_jaccard_of_rows_without_ids_and_of_repeated_ids(spark):
+    """Null ids that link with each other, and with known ids; one id with texts of different groups."""
+    a, b, c = prose(1, 40), prose(2, 40), prose(3, 40)
+    rows = [(None, a), (None, a + " tail"), (5, b), (None, b), (7, a + " tale"), (7, c), (9, c), (7, prose(4, 40)), (2, b + " x"),
+            (None, prose(6, 40)), (None, prose(6, 40)), (None, ""), (7, None)]
+    check_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+
+
+def test_jaccard_of_large_sets(spark):
+    """Sets with more hash ranges than others, near the size at which the ranges double."""
+    rng = random.Random(3)
+    base = [f"u{rng.randrange(10 ** 9)}" for _ in range(1040)]
+    texts = [base[:1026], base[:1020] + ["x"], base[:1030], base[:900] + ["y"] * 90, base, [f"z{k}" for k in range(1030)],
+             [w for w in base[:1030] if rng.random() < .97], base[:520] + [f"q{k}" for k in range(510)]]
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert len({len(size_aware_join.range_counts(size_aware_join.shingle_hashes(np.arange(n, dtype=np.uint64), 3))) for n in (900, 1026, 1040)}) == 2
+    check_groups(frame, 3, 90)
+    check_groups(frame, 5, 80)
+
+
+def test_blocks_yield_few_edges():
+    """Two blocks of near copies: each yields its own edges, both together one."""
+    rng = np.random.default_rng(1)
+    base = np.sort(rng.choice(10 ** 9, 300, replace=False)).astype(np.uint64)
+    near = [np.delete(base, rng.choice(300, 2)) for _ in range(60)]
+    far = [np.sort(rng.choice(10 ** 9, 300, replace=False)).astype(np.uint64) for _ in range(4)]
+    sets, block = near + far, np.arange(64) % 2
+    for own in (0, 1):
+        mine = [s for s, k in zip(sets, block, strict=True) if k == own]
+        assert len(size_aware_join.linked_forest(mine, 90)) == 29
+    between = size_aware_join.linked_forest(sets, 90, block)
+    assert len(between) == 1 and block[between[0][0]] != block[between[0][1]]
+    rows = pd.DataFrame({"a": 0, "b": 1, "mine": block, "node": np.arange(64), "n_shingles": [len(s) for s in sets],
+                         "ranges": [size_aware_join.range_counts(s) for s in sets]})
+    assert len(size_aware_join._possible_forest(90)(rows)) == 1
+
+
+def test_one_of_each_group_decides_by_row(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(7, a), (7, b), (3, a + " tail"), (9, c), (9, c), (None, c + " tail"), (None, prose(4, 60)), (None, prose(4, 60)), (7, ""), (1, b)]
+    kept = size_aware_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80)
+    want = [(3, a + " tail"), (1, b), (9, c), (None, prose(4, 60)), (7, "")]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("most", [1 << 27, 16])
+def test_members_by_bitmap_or_by_join(spark, monkeypatch, most):
+    monkeypatch.setattr(size_aware_join, "MOST_BITS", most)
+    rng = random.Random(9)
+    base = prose(5, 80)
+    rows = [(k, edited(base, rng, 1) if k < 12 else prose(k + 100, 50)) for k in range(40)]
+    check_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+
+
 def test_one_of_each_group(odd):
     kept = size_aware_join.one_of_each_group(odd, 5, 80)
     ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect())

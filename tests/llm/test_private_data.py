@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from gridmart.llm import pii_bootstrap
 
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -68,13 +70,87 @@ def test_odd_rows(odd, nothing):
 
 def test_confident_contexts_find_more(spark):
     rows = [(k, f"Please call me at +1 555 01{k:05d}1 today") for k in range(20)]
-    rows += [(100, "Please call me at 0049-8831-2291-X today"), (101, "We met at 0049-8831-2291-Y today")]
+    rows += [(100, "Please call me at 0049-8831-2291-X today"), (101, "We met in 0049-8831-2291-Y once")]
     got = {r["doc_id"]: r for r in pii_bootstrap.personal_data(
         spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[100]["spans"] == "phone:18:34" and got[100]["n_phone"] == 0 and got[100]["n_added"] == 1
     assert got[101]["spans"] == ""
 
 
+def plain_bootstrap(texts):
+    """The added spans of each text, by loops over all of them."""
+    def words(text):
+        return [w for w in re.split(r"[\W_]+", text.lower()) if w]
+
+    def patterns(text, start, stop):
+        before, after = words(text[:start]), words(text[stop:])
+        between = re.sub(r"\s+", " ", re.search(r"[\W_]*\Z", text[:start].lower()).group())
+        form = re.sub("[0-9]+", "0", re.sub(r"[^\W\d_]+", "a", text[start:stop]))
+        return ([("2", *before[-2:])] if len(before) > 1 else []) + ([("1", before[-1], between, form)] if before else []) + (
+            [("3", before[-1], after[0])] if before and after else [])
+
+    seeds, tokens = [], []
+    for number, text in enumerate(texts):
+        spans = base(text)
+        seeds += [(p, list(RULES).index(k), text) for k, a, b in spans for p in patterns(text, a, b)]
+        for m in re.finditer(pii_bootstrap.TOKEN.replace("*+", "*"), text):
+            if not any(a < m.end() and m.start() < b for _, a, b in spans):
+                tokens.append((number, m.start(), m.end(), m.group(), patterns(text, m.start(), m.end())))
+    every = {}
+    for p, _, text in seeds:
+        every.setdefault(p, set()).add(text)
+    for number, _, _, _, ps in tokens:
+        for p in ps:
+            every.setdefault(p, set()).add(texts[number])
+    trusted = {}
+    while True:
+        good = {}
+        for p, k, text in seeds:
+            good.setdefault((p, k), set()).add(text)
+        for number, _, _, entity, ps in tokens:
+            for p in ps if entity in trusted else ():
+                good.setdefault((p, trusted[entity]), set()).add(texts[number])
+        sure = {(p, k): len(t) / (len(every[p]) + 1) for (p, k), t in good.items() if len(t) / (len(every[p]) + 1) >= 0.8}
+        votes = {}
+        for entity, p in {(entity, p) for *_, entity, ps in tokens for p in ps}:
+            for k in range(4):
+                if (p, k) in sure:
+                    votes.setdefault(entity, {}).setdefault(k, []).append(sure[p, k])
+        new = {e: min(v, key=lambda k: (-round(sum(v[k]), 9), k)) for e, v in votes.items() if e not in trusted}
+        if not new:
+            return [[(list(RULES)[trusted[e]], a, b) for n, a, b, e, ps in tokens if n == number and e in trusted
+                     and any((p, trusted[e]) in sure for p in ps)] for number in range(len(texts))]
+        trusted |= new
+
+
+def test_bootstrapping_equals_plain_loops(spark):
+    rng = random.Random(4)
+    people = [f"user{k}@mail.example" for k in range(30)] + [f"id-{1000 + k}-{k}" for k in range(3)]
+    phones = [f"+1 (555) 444-3{k}0" for k in range(10, 40)] + [f"00-{k}443-3322" for k in range(3)]
+    texts = []
+    for _ in range(300):
+        frame, pool = rng.choice([("write to {} now", people), ("Mail: {}.", people), ("or ask {} there", people), ("phone = {}; end", phones),
+                                  ("call us on {} please", phones), ("version {} of {}", people + phones), ("on {}", phones)])
+        texts.append(rng.choice(["", "Hello. ", "x" * 70 + " "]) + frame.replace("{}", rng.choice(pool), 1).replace("{}", rng.choice(phones)))
+    texts += [f"serial {k}{k}{k}{k}-{k}7 of" for k in range(4)]
+    added = plain_bootstrap(texts)
+    assert sum(map(len, added)) >= 20 and len({k for spans in added for k, *_ in spans}) == 2
+    got = {r["doc_id"]: r for r in pii_bootstrap.personal_data(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for number, text in enumerate(texts):
+        order = list(RULES)
+        want = sorted(base(text) + added[number], key=lambda s: (order.index(s[0]), s[1]))
+        assert got[number]["spans"] == written(want), text
+        assert got[number]["n_added"] == len(added[number])
+
+
+def test_words_beyond_the_window_are_whole(spark):
+    far = "w" * 200
+    df = spark.createDataFrame([(f"{far} {far}   1.2.3.4 {far}v end",)], "text string")
+    (span,) = pii_bootstrap.scanned(df, F.col("text")).first()["base"]
+    assert span["patterns"] == [f"2 {far} {far}", f"1 {far}| |0.0.0.0", f"3 {far} _ {far}v"]
+
+
 def test_redaction(odd, spark):
     assert pii_bootstrap.redacted(odd).columns == odd.columns
     same = sorted(map(str, odd.collect()))
