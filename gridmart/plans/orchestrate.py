@@ -9,6 +9,7 @@ Layout under one root (shared storage on a cluster):
     state/files/                             (filename, updated) state
     state/layouts/                           the header line of each file read so far
     state/pse/<entity>/                      publication watermark
+    state/pse_days/<entity>/                 first and last day of each page read so far
     marts/<mart>/part_date=<d>/              marts
     rollups/<mart>/<rollup>/                 aggregate states by day or month
 """
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,64 +130,107 @@ def _new_pages(spark: SparkSession, landing: str, state: DataFrame | None):
     return [r["path"] for r in todo.select("path").collect()], manifest.commit_state(state, pages)
 
 
+def _pages_of_days(spark: SparkSession, landing: str, ent, days: Sequence[str], state_path: str,
+                   multi_line: bool) -> list[str]:
+    """The landed pages that hold rows of the wanted days, from an index of every page's first and last day.
+
+    Only pages that are new or changed (name, modification time) are read for the index; it is kept in ``state_path``.
+    """
+    pages = manifest.list_landed(spark, landing).select(
+        F.col("path"), F.col("modificationTime").cast("string").alias("updated"))
+    known = read_version(spark, state_path)
+    todo = pages if known is None else pages.join(known, ["path", "updated"], "left_anti")
+    fresh = [r["path"] for r in todo.select("path").collect()]
+    if fresh:
+        day = F.to_date("business_date")
+        ranges = (read_entity(spark, fresh, ent, multi_line, with_path=True).groupBy("path")
+                  .agg(F.min(day).alias("first_day"), F.max(day).alias("last_day")))
+        new = todo.select("path", "updated").join(ranges, "path", "left").select("path", "updated", "first_day", "last_day")
+        kept = new if known is None else known.join(new, "path", "left_anti").select(*new.columns).unionByName(new)
+        write_version(kept.coalesce(1), state_path)
+        known = read_version(spark, state_path)
+    if known is None:
+        return []
+    wanted = spark.createDataFrame([(d,) for d in sorted(set(days))], "day string").select(F.col("day").cast("date"))
+    here = known.join(pages, ["path", "updated"], "left_semi")
+    overlap = here.join(F.broadcast(wanted), (F.col("first_day") <= F.col("day")) & (F.col("last_day") >= F.col("day")), "left_semi")
+    return [r["path"] for r in overlap.select("path").collect()]
+
+
+def _load_entity(spark: SparkSession, root: str, key: str, ent, start: str | None, dates: Sequence[str] | None,
+                 lookback_days: int, today, multi_line: bool) -> str:
+    """One entity's new rows appended and its state committed; what was done."""
+    landing, wm_path = _p(root, "landing", "pse", key), _p(root, "state", "pse", key)
+    if not path_exists(spark, landing):
+        return "skipped: no landed pages"
+    current, raw_path = read_version(spark, wm_path), _p(root, "raw_pse", key)
+    if dates is not None or ent.incremental == "business_date":
+        # explicit days win; the heavy strategy takes the last few days
+        days = dates if dates is not None else incremental.lookback_days(lookback_days, today)
+        paths = _pages_of_days(spark, landing, ent, days, _p(root, "state", "pse_days", key), multi_line)
+        if not paths:
+            return "nothing of these days"
+        rows = read_entity(spark, paths, ent, multi_line)
+        append_raw(incremental.by_business_dates(rows, "business_date", days), raw_path, next_load_id(spark, raw_path))
+        return "loaded"
+    last = start or (current.first()["watermark"] if current is not None else None)
+    pages_path = _p(root, "state", "pse_pages", key)
+    if last is None:
+        return "no baseline"
+    paths, read = _new_pages(spark, landing, None if start else read_version(spark, pages_path))
+    if not paths:
+        return "nothing new"
+    chosen = incremental.incremental_since(read_entity(spark, paths, ent, multi_line), "publication_ts_utc", last)
+    load_id = next_load_id(spark, raw_path)
+    append_raw(chosen, raw_path, load_id)
+    # From the rows just appended, so that the pages are read once.
+    loaded = read_parquet_or_none(spark, f"{raw_path}/load_id={load_id}")
+    if loaded is None:
+        loaded = spark.createDataFrame([], chosen.schema)
+    new = incremental.advance_watermark(loaded, "publication_ts_utc", last)
+    write_version(new if current is None else current.unionByName(new).agg(
+        F.max("watermark").alias("watermark")), wm_path)
+    write_version(read, pages_path)
+    return "loaded"
+
+
 def run_pse(spark: SparkSession, root: str, seed: bool = False, start: str | None = None,
             dates: Sequence[str] | None = None, entities: dict | None = None,
-            lookback_days: int = 3, today=None, multi_line: bool = True) -> dict:
+            lookback_days: int = 3, today=None, multi_line: bool = True, on_error: str = "fail") -> dict:
     """G1 for PSE: landed pages -> rows by dates or by publication watermark.
 
     Explicit ``dates`` win over increments; entities whose strategy is
-    ``business_date`` take the last ``lookback_days`` days; the others take
+    ``business_date`` take the last ``lookback_days`` days; both read the pages of those days only.
+    The others take
     rows published after the watermark (an explicit ``start`` wins over the
     state; no start and no state loads nothing).  An increment reads only
     pages that landed since the last one.  An entity whose pages have not
-    landed is skipped; bad data always fails the run.
+    landed is skipped.  Bad data fails the run; with ``on_error="skip"`` the
+    entity is left out, its state as before, so that its pages are read again by
+    the next run, and the others go on.
     """
+    if on_error not in ("fail", "skip"):
+        raise ValueError("on_error is fail or skip")
     report = {}
     for key, ent in (entities or ENTITIES).items():
-        landing, wm_path = _p(root, "landing", "pse", key), _p(root, "state", "pse", key)
-        current = read_version(spark, wm_path)
         if seed:
-            write_version(incremental.seed_watermark(spark), wm_path)
+            write_version(incremental.seed_watermark(spark), _p(root, "state", "pse", key))
             report[key] = "seeded"
             continue
-        if not path_exists(spark, landing):
-            report[key] = "skipped: no landed pages"
-            continue
-        raw_path = _p(root, "raw_pse", key)
-        if dates is not None or ent.incremental == "business_date":
-            # explicit days win; the heavy strategy takes the last few days
-            days = dates if dates is not None else incremental.lookback_days(lookback_days, today)
-            rows = read_entity(spark, landing, ent, multi_line)
-            append_raw(incremental.by_business_dates(rows, "business_date", days), raw_path,
-                       next_load_id(spark, raw_path))
-            report[key] = "loaded"
-            continue
-        last = start or (current.first()["watermark"] if current is not None else None)
-        pages_path = _p(root, "state", "pse_pages", key)
-        pages = read_version(spark, pages_path)
-        if last is None:
-            report[key] = "no baseline"
-            continue
-        paths, read = _new_pages(spark, landing, None if start else pages)
-        if not paths:
-            report[key] = "nothing new"
-            continue
-        rows = read_entity(spark, paths, ent, multi_line)
-        chosen = incremental.incremental_since(rows, "publication_ts_utc", last)
-        append_raw(chosen, raw_path, next_load_id(spark, raw_path))
-        new = incremental.advance_watermark(chosen, "publication_ts_utc", last)
-        write_version(new if current is None else current.unionByName(new).agg(
-            F.max("watermark").alias("watermark")), wm_path)
-        write_version(read, pages_path)
-        report[key] = "loaded"
+        try:
+            report[key] = _load_entity(spark, root, key, ent, start, dates, lookback_days, today, multi_line)
+        except (PySparkException, Py4JJavaError) as error:  # what a Spark job fails with, not a fault of this code
+            if on_error == "fail":
+                raise
+            report[key] = f"failed: {type(error).__name__}"
     return report
 
 
 def run_ingest(spark: SparkSession, root: str, sources: Sequence[str] = ("entsoe", "pse"),
                date: str | None = None, from_date: str | None = None, backfill_days: int | None = None,
                instruments: Sequence[str] | None = None, seed: bool = False, today=None, now=None,
-               **entsoe) -> dict:
-    """G1: both sources or one.
+               pse_on_error: str = "fail", **entsoe) -> dict:
+    """G1: both sources or one; ``pse_on_error``: see :func:`run_pse`.
 
     ``date`` wins over ``from_date`` (every day from there to today), either
     wins over increments, and ``backfill_days`` is turned into the start of
@@ -199,7 +245,7 @@ def run_ingest(spark: SparkSession, root: str, sources: Sequence[str] = ("entsoe
     if "pse" in sources:
         dates = [date] if date else incremental.dates_from(from_date, today) if from_date else None
         report["pse"] = run_pse(spark, root, seed=seed, dates=dates,
-                                start=incremental.backfill_start(backfill_days, now), today=today)
+                                start=incremental.backfill_start(backfill_days, now), today=today, on_error=pse_on_error)
     return report
 
 

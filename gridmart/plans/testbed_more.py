@@ -16,12 +16,13 @@ from ..operators import audit, incremental, manifest, profile
 from ..operators.joins import join_dim
 from ..operators.metrics import MODELS, adhoc_sql, metric_query
 from ..operators.upsert import write_partitions
-from ..schemas import INSTRUMENTS
+from ..schemas import ENTITIES, INSTRUMENTS
 from ..session import delete_path, scratch_path
 from ..sources.tables import read_table
 from ..sources.tsv import instrument_headers, scan_instrument
 from . import marts, oracle, staging, sync, testbed
 from .export import materialize
+from .orchestrate import run_pse
 from .rollups import RollupStore
 
 _T = testbed._t
@@ -137,8 +138,9 @@ def q_backfill_start(spark, sf_dir):
 
 
 def q_increment_without_baseline(spark, sf_dir):
-    """No baseline loads nothing; a fresh seed (now) loads nothing of the past either."""
+    """No baseline loads nothing; a fresh seed (now) loads what is published later: events of odd ids are put a century ahead."""
     ev = _T(spark, sf_dir, "events")
+    ev = ev.withColumn("ts", F.when(F.col("event_id") % 2 == 1, F.add_months("ts", 1200).cast("timestamp_ntz")).otherwise(F.col("ts")))
     seed = incremental.seed_watermark(spark).first()["watermark"]
     cases = {"no_baseline": None, "seeded": seed}
     parts = [incremental.incremental_since(ev, "ts", start).agg(F.count("*").alias("n")).select(
@@ -250,6 +252,43 @@ def q_sync_old_edit(spark, sf_dir):
     return out.withColumn("runs", F.lit(", ".join(runs)))
 
 
+def q_pse_ingest(spark, sf_dir):
+    """G1 for PSE pages of the events, in five runs; the raw rows with their loads, and what the runs report.
+
+    A page of one entity is cut off: it is skipped with its state while the other entity is loaded; once the page is
+    whole the first is loaded and the other has nothing new.  Then two days are asked for, and days without pages.
+    """
+    root, ev = scratch_path(spark, "pse"), _T(spark, sf_dir, "events")
+    instant, day = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.date_format("ts", "yyyy-MM-dd")
+    rows = {"cor": F.struct(instant.alias("dtime_utc"), day.alias("business_date"), F.col("value").alias("cor_cost"),
+                            F.col("event_id").cast("double").alias("cor_fcst"), instant.alias("publication_ts_utc")),
+            "zmb": F.struct(instant.alias("dtime_utc"), day.alias("business_date"), F.col("event_id").cast("double").alias("zmb_fcrg"),
+                            instant.alias("publication_ts_utc"))}
+    for key, row in rows.items():  # one page for ten days, one page a line
+        page = ev.groupBy(F.floor(F.dayofmonth("ts") / 10).alias("part"), "user_id").agg(F.collect_list(row).alias("value"))
+        (page.select("part", F.to_json(F.struct("value")).alias("page")).repartition(1).write.partitionBy("part")
+         .text(f"{root}/all/{key}"))
+        for part in range(4):
+            spark.read.text(f"{root}/all/{key}/part={part}").coalesce(1).write.mode("append").text(f"{root}/landing/pse/{key}")
+    broken = f"{root}/landing/pse/zmb"
+    spark.createDataFrame([('{"value": [{"dtime_utc": "2024-01-01 00',)], "value string").coalesce(1).write.text(f"{root}/broken")
+    spark.read.text(f"{root}/broken").coalesce(1).write.mode("append").text(broken)
+    cut = [r["path"] for r in manifest.list_landed(spark, broken).where("length < 100").select("path").collect()]
+    first = "2024-01-04 12:00:00"
+    runs = [run_pse(spark, root, start=first, multi_line=False, on_error="skip")]
+    for path in cut:
+        delete_path(spark, path)
+    runs.append(run_pse(spark, root, start=None, multi_line=False, on_error="skip"))
+    runs.append(run_pse(spark, root, start=first, entities={"zmb": ENTITIES["zmb"]}, multi_line=False))
+    runs.append(run_pse(spark, root, dates=["2024-01-02", "2024-01-03"], entities={"cor": ENTITIES["cor"]}, multi_line=False))
+    runs.append(run_pse(spark, root, dates=["2031-01-01"], entities={"cor": ENTITIES["cor"]}, multi_line=False))
+    told = " | ".join(", ".join(f"{k} {v.split(':')[0]}" for k, v in sorted(run.items())) for run in runs)
+    parts = [spark.read.parquet(f"{root}/raw_pse/{key}").select(F.lit(key).alias("entity"), "dtime_utc", F.col(measure).alias("value"),
+                                                                F.col("load_id").cast("int").alias("load_id"))
+             for key, measure in (("cor", "cor_fcst"), ("zmb", "zmb_fcrg"))]
+    return testbed.ntz(parts[0].unionByName(parts[1])).withColumn("runs", F.lit(told))
+
+
 def q_load_summary(spark, sf_dir):
     events = audit.parse_events(testbed._log_lines(spark, sf_dir))
     expected = audit.expected_frame(spark, {"click": 2000, "view": 2500, "purchase": 100, "signup": 0, "energy_prices": 21})
@@ -400,7 +439,7 @@ WHERE strftime(ts, '%Y-%m-%d') IN ('2024-01-28', '2024-01-29', '2024-01-30')""",
     "backfill_start": "SELECT event_id FROM events WHERE ts > TIMESTAMP '2024-01-25 12:00:00'",
     "increment_without_baseline": """
 SELECT 'no_baseline' AS case_name, count(*) AS n FROM events WHERE FALSE
-UNION ALL SELECT 'seeded' AS case_name, count(*) AS n FROM events WHERE FALSE""",
+UNION ALL SELECT 'seeded' AS case_name, count(*) AS n FROM events WHERE event_id % 2 = 1""",
     "join_area_code": "WITH " + oracle.STG_PRICES + ",\n" + oracle.FCT_GENERATION[len(oracle.AREAS) + 2:] + """,
 dims AS (SELECT DISTINCT area_code, area_name AS dim_area_name, area_map_code, area_type_code FROM stg_prices)
 SELECT f.datetime, f.area_code, f.production_type, f.measure_metric, f.actual_mw, d.dim_area_name
@@ -427,6 +466,14 @@ UNION ALL SELECT 'fct_entsoe_imbalance_prices', 'full-copy', 'append', count(*)
 SELECT 'events' AS table_name, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS remote_max FROM events
 UNION ALL SELECT 'orders', '1998'""",
     "metric_rollups": _rollup_sql(),
+    "pse_ingest": """
+WITH loads AS (
+  SELECT 'cor' AS entity, ts, event_id, 1 AS load_id FROM events WHERE ts > TIMESTAMP '2024-01-04 12:00:00'
+  UNION ALL SELECT 'zmb', ts, event_id, 1 FROM events WHERE ts > TIMESTAMP '2024-01-04 12:00:00'
+  UNION ALL SELECT 'cor', ts, event_id, 2 FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-02', DATE '2024-01-03'))
+SELECT entity, ts AS dtime_utc, CAST(event_id AS DOUBLE) AS value, load_id,
+       'cor loaded, zmb failed | cor nothing new, zmb no baseline | zmb loaded | cor loaded | cor nothing of these days' AS runs
+FROM loads""",
     "sync_old_edit": """
 SELECT * REPLACE (CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' AND event_id % 2 = 0 THEN value + 1 ELSE value END AS value),
        'full-copy, resync 2024-01-05 2024-01-10, skip' AS runs

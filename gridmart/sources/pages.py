@@ -11,18 +11,20 @@ from ..schemas import ENTITIES, Entity, entity_row_schema, page_schema
 
 
 def read_pages(spark: SparkSession, path: str | list[str], row_schema: T.StructType,
-               multi_line: bool = True) -> DataFrame:
+               multi_line: bool = True, with_path: bool = False) -> DataFrame:
     """Union of every page's ``value`` array; a page without it gives no rows.
 
     Parsed by Spark's JSON reader with an explicit schema (no inference) and
     exploded in the same stage.  ``multi_line=True``: one (pretty-printed)
     page per file; ``False``: JSON Lines, one page per line, splittable.
     A page that is cut off, or holds a value of another type, fails the job.
+    ``with_path`` adds each row's file as ``path``.
     """
     pages = (spark.read.schema(page_schema(row_schema)).option("multiLine", multi_line)
              .option("mode", "FAILFAST")
              .json(path))
-    return pages.select(F.explode("value").alias("r")).select("r.*")
+    path_of = [F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("path")] if with_path else []
+    return pages.select(*path_of, F.explode("value").alias("r")).select(*(["path"] if with_path else []), "r.*")
 
 
 def parse_pages(df: DataFrame, text_col: str, row_schema: T.StructType,
@@ -44,7 +46,7 @@ def normalize_entity(rows: DataFrame, entity: str | Entity, on_error: str = "fai
 
 
 def read_entity(spark: SparkSession, path: str | list[str], entity: str | Entity,
-                multi_line: bool = True) -> DataFrame:
+                multi_line: bool = True, with_path: bool = False) -> DataFrame:
     ent = ENTITIES[entity] if isinstance(entity, str) else entity
-    return normalize_entity(read_pages(spark, path, entity_row_schema(ent), multi_line), ent)
+    return normalize_entity(read_pages(spark, path, entity_row_schema(ent), multi_line, with_path), ent)
 

@@ -1,5 +1,7 @@
 """End-to-end: landed files -> raw -> staging -> marts, and a rerun."""
 
+import dataclasses
+import os
 import shutil
 
 import pytest
@@ -9,7 +11,7 @@ from fixture_files import fx
 from gridmart.plans import orchestrate as O
 from gridmart.operators.quality import DataCheckError
 from gridmart.plans import sync
-from gridmart.schemas import INSTRUMENTS
+from gridmart.schemas import ENTITIES, INSTRUMENTS
 
 
 @pytest.fixture
@@ -25,7 +27,6 @@ def root(tmp):
              ("2026_09_EnergyPrices_12.1.D_r3.1", "2026-10-01T00:00:00"),
              ("2026_09_02_EnergyPrices_12.1.D_r3.1", "2026-10-01T00:00:00"),
              ("2026_09_03_EnergyPrices_12.1.D_r3.1", "2026-10-01T00:00:00")]
-    import os
     os.makedirs(f"{tmp}/manifest")
     with open(f"{tmp}/manifest/Export_log.csv", "w") as fh:
         fh.write("file_name\tyear\tmonth\tmax_update_time(UTC)\texport_time(UTC)\n")
@@ -168,3 +169,39 @@ def test_renamed_area_goes_in_an_incremental_run(spark, root):
     part = {tuple(r) for r in spark.read.parquet(f"{root}/marts/dim_area").collect()}
     O.run_models(spark, root, checks=False)
     assert part == {tuple(r) for r in spark.read.parquet(f"{root}/marts/dim_area").collect()}
+
+
+def test_a_failed_entity_is_skipped_with_its_state(spark, root):
+    bad = f"{root}/landing/pse/zmb/cut.json"
+    with open(bad, "w") as out:
+        out.write('{"value": [{"dtime_utc": "2026-09-01')
+    with pytest.raises(Exception):
+        O.run_pse(spark, root, start="2026-09-01 00:00:00")
+    report = O.run_pse(spark, root, start="2026-09-01 00:00:00", on_error="skip")
+    assert report["cor"] == "loaded" and report["zmb"].startswith("failed")
+    assert not os.path.exists(f"{root}/state/pse/zmb") and os.path.exists(f"{root}/state/pse/cor")
+    os.remove(bad)
+    assert O.run_pse(spark, root, start="2026-09-01 00:00:00")["zmb"] == "loaded"
+    assert spark.read.parquet(f"{root}/raw_pse/zmb").count() == 9
+    with pytest.raises(ValueError, match="on_error"):
+        O.run_pse(spark, root, on_error="ignore")
+
+
+def test_days_read_only_the_pages_that_hold_them(spark, root, monkeypatch):
+    heavy = {"cor": dataclasses.replace(ENTITIES["cor"], incremental="business_date")}
+    row = '{"dtime_utc": "%s 00:00:00", "business_date": "%s", "cor_cost": 1, "cor_fcst": 2, "publication_ts_utc": "%s 01:00:00"}'
+    for name, days in (("a+b.json", ["2026-07-01", "2026-07-03"]), ("c d.json", ["2026-07-04"]), ("none.json", [])):
+        with open(f"{root}/landing/pse/cor/{name}", "w") as out:
+            out.write('{"value": [%s]}' % ", ".join(row % (d, d, d) for d in days))
+    read = []
+    real = O.read_entity
+    monkeypatch.setattr(O, "read_entity", lambda s, paths, *a, **k: read.append(sorted(p.rsplit("/", 1)[1] for p in paths)) or real(s, paths, *a, **k))
+
+    def run(*days):
+        read.clear()
+        return O.run_pse(spark, root, dates=list(days), entities=heavy)["cor"], list(read)
+
+    assert run("2026-07-03", "2026-07-04") == ("loaded", [["a+b.json", "c d.json", "c1.json", "none.json"], ["a+b.json", "c d.json"]])
+    assert run("2026-07-04") == ("loaded", [["c d.json"]])
+    assert run("2026-08-04") == ("nothing of these days", [])
+    assert spark.read.parquet(f"{root}/raw_pse/cor").count() == 3
