@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeutc import now_utc_text
 from ..operators import audit, incremental, manifest, profile
+from ..operators.footers import footer_range, pushed
 from ..operators.joins import join_dim
 from ..operators.metrics import MODELS, adhoc_sql, metric_query
 from ..operators.upsert import write_partitions
@@ -289,6 +290,20 @@ def q_pse_ingest(spark, sf_dir):
     return testbed.ntz(parts[0].unionByName(parts[1])).withColumn("runs", F.lit(told))
 
 
+def q_footer_ranges(spark, sf_dir):
+    """A1, A2, A3 of three tables from their footers; none of them is scanned."""
+    out = None
+    for table, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey"), ("events", "event_id")):
+        one = footer_range(spark, f"{sf_dir}/{table}.parquet", [key])
+        if not pushed(one):
+            raise RuntimeError(f"{table} would be scanned")
+        values = one.first()  # three numbers out of footers, from the footer session into this one
+        row = spark.range(1).select(F.lit(table).alias("table_name"), *[
+            F.lit(values[c]).cast("bigint").alias(n) for c, n in (("row_count", "row_count"), (f"min_{key}", "least"), (f"max_{key}", "greatest"))])
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def q_load_summary(spark, sf_dir):
     events = audit.parse_events(testbed._log_lines(spark, sf_dir))
     expected = audit.expected_frame(spark, {"click": 2000, "view": 2500, "purchase": 100, "signup": 0, "energy_prices": 21})
@@ -466,6 +481,10 @@ UNION ALL SELECT 'fct_entsoe_imbalance_prices', 'full-copy', 'append', count(*)
 SELECT 'events' AS table_name, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS remote_max FROM events
 UNION ALL SELECT 'orders', '1998'""",
     "metric_rollups": _rollup_sql(),
+    "footer_ranges": """
+SELECT 'lineitem' AS table_name, count(*) AS row_count, min(l_orderkey) AS least, max(l_orderkey) AS greatest FROM lineitem
+UNION ALL SELECT 'orders', count(*), min(o_orderkey), max(o_orderkey) FROM orders
+UNION ALL SELECT 'events', count(*), min(event_id), max(event_id) FROM events""",
     "pse_ingest": """
 WITH loads AS (
   SELECT 'cor' AS entity, ts, event_id, 1 AS load_id FROM events WHERE ts > TIMESTAMP '2024-01-04 12:00:00'
