@@ -32,8 +32,10 @@ def footer_range(spark: SparkSession, path: str, columns: Sequence[str] = ()) ->
     for c in columns:
         aggregates += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
     found = footer_session(spark).read.parquet(path).agg(*aggregates)
-    # A pushed count is the sum of the files' counts, which is null where no file has a row.
-    return found.withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("long")))
+    # A pushed count is the sum of the files' counts, which is null where no file has a row; Spark
+    # takes a count for never null, and would drop a plain coalesce.
+    counted = F.nullif("row_count", F.lit(-1).cast("long"))
+    return found.withColumn("row_count", F.coalesce(counted, F.lit(0).cast("long")))
 
 
 def pushed(df: DataFrame) -> bool:
