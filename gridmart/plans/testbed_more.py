@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeutc import now_utc_text
@@ -253,6 +253,27 @@ def q_sync_old_edit(spark, sf_dir):
     return out.withColumn("runs", F.lit(", ".join(runs)))
 
 
+PAGE_ROWS = 1000
+
+
+def land_pages(df: DataFrame, row: Column, landing: str) -> None:
+    """The rows as JSON pages of at most ``PAGE_ROWS`` rows, one page a line, appended to the landing folder.
+
+    Rows that follow each other in a task make a page, so nothing is shuffled or sorted, and a task holds a batch of
+    rows however large the table or the group of a key is.
+    """
+    size = PAGE_ROWS
+
+    def pages(batches):
+        import pyarrow as pa
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            lines = ['{"value":[' + ",".join(rows[k:k + size]) + "]}" for k in range(0, len(rows), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["page"])
+
+    df.select(F.to_json(row).alias("row")).mapInArrow(pages, "page string").write.mode("append").text(landing)
+
+
 def q_pse_ingest(spark, sf_dir):
     """G1 for PSE pages of the events, in five runs; the raw rows with their loads, and what the runs report.
 
@@ -265,12 +286,9 @@ def q_pse_ingest(spark, sf_dir):
                             F.col("event_id").cast("double").alias("cor_fcst"), instant.alias("publication_ts_utc")),
             "zmb": F.struct(instant.alias("dtime_utc"), day.alias("business_date"), F.col("event_id").cast("double").alias("zmb_fcrg"),
                             instant.alias("publication_ts_utc"))}
-    for key, row in rows.items():  # one page for ten days, one page a line
-        page = ev.groupBy(F.floor(F.dayofmonth("ts") / 10).alias("part"), "user_id").agg(F.collect_list(row).alias("value"))
-        (page.select("part", F.to_json(F.struct("value")).alias("page")).repartition(1).write.partitionBy("part")
-         .text(f"{root}/all/{key}"))
+    for key, row in rows.items():  # pages of ten days in files of their own, one page a line
         for part in range(4):
-            spark.read.text(f"{root}/all/{key}/part={part}").coalesce(1).write.mode("append").text(f"{root}/landing/pse/{key}")
+            land_pages(ev.where(F.floor(F.dayofmonth("ts") / 10) == part), row, f"{root}/landing/pse/{key}")
     broken = f"{root}/landing/pse/zmb"
     spark.createDataFrame([('{"value": [{"dtime_utc": "2024-01-01 00',)], "value string").coalesce(1).write.text(f"{root}/broken")
     spark.read.text(f"{root}/broken").coalesce(1).write.mode("append").text(broken)

@@ -95,3 +95,20 @@ def test_window_bound_is_pushed_into_the_scan(spark):
 def test_only_needed_columns_are_read(spark):
     p = plan(quality.check_unique(testbed._t(spark, SF, "lineitem"), ["l_orderkey", "l_linenumber"]))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in p
+
+
+def test_pse_pages_grow_neither_with_the_table_nor_with_a_key(spark, tmp, monkeypatch):
+    from gridmart.plans import testbed_more
+    day = F.timestamp_seconds(F.lit(1704110400) + F.col("id") % 30 * 86400)  # noon of January's days
+    (spark.range(0, 12000, 1, 4).select(F.col("id").alias("event_id"), day.cast("timestamp_ntz").alias("ts"),
+                                        F.lit(1).cast("bigint").alias("user_id"), F.lit(0.5).alias("value"))
+     .write.parquet(f"{tmp}/events.parquet"))
+    monkeypatch.setattr(testbed_more, "scratch_path", lambda s, name: f"{tmp}/{name}")
+    out = testbed_more.q_pse_ingest(spark, tmp)
+    pages = spark.read.text(f"{tmp}/pse/landing/pse/cor")
+    rows = F.size(F.from_json("value", "value array<struct<business_date string>>")["value"])
+    n, longest = pages.agg(F.sum(rows), F.max(rows)).first()
+    assert n == 12000 and longest <= 1000  # the one user has 4,000 rows in ten days
+    assert len(pages.inputFiles()) > 4  # no task writes all pages of ten days
+    assert out.groupBy("entity", "load_id").count().orderBy("entity", "load_id").collect() == [
+        ("cor", 1, 10400), ("cor", 2, 800), ("zmb", 1, 10400)]
